@@ -10,6 +10,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -95,3 +96,61 @@ def sized(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.R
     for batch in batches:
         if batch.num_rows:
             yield batch.cast(schema) if batch.schema != schema else batch
+
+
+class Hashes(dict):
+    """64-bit hashes of words, remembered; bounded."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > 400_000:
+            self.clear()
+        h = self[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
+        return h
+
+
+def pack(ranges: np.ndarray, rows: np.ndarray) -> pa.RecordBatch:
+    """The rows (a structured array) as one binary value for each range that has any: (range, data)."""
+    order = np.argsort(ranges, kind="stable")
+    ranges, rows = ranges[order], rows[order]
+    at = np.flatnonzero(np.diff(ranges, prepend=-1))
+    ends = np.append(at[1:], len(rows))
+    return pa.RecordBatch.from_arrays([pa.array(ranges[at].astype(np.int32)), pa.array([rows[a:b].tobytes() for a, b in zip(at, ends, strict=True)], pa.binary())], names=["range", "data"])
+
+
+def unpack(table: pa.Table, dtype: np.dtype) -> np.ndarray:
+    return np.concatenate([np.zeros(0, dtype), *(np.frombuffer(x.as_py(), dtype) for x in table.column("data"))])
+
+
+def held_out(doc_id: Column) -> Column:
+    """The fold that no training sees: crc32 of the id as text, divisible by 5."""
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
+
+
+def labelled(docs: DataFrame, labels: DataFrame, label: str, limit: int | None, among: Column) -> DataFrame:
+    """Rows of docs with y (0 or 1), at most `limit` by a hash of the id. Null labels are none; a repeated id has its greatest."""
+    y = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & among).groupBy("doc_id").agg(F.max(label).cast("int").alias("y"))
+    y = y.withColumnRenamed("doc_id", "__id")
+    if limit:
+        y = F.broadcast(y.orderBy(F.xxhash64("__id"), "__id").limit(limit))
+    return docs.join(y, F.col("doc_id") == F.col("__id")).drop("__id")
+
+
+def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None, l2: float = 1e-3, steps: int = 300) -> tuple[np.ndarray, float]:
+    """Weights and bias of a logistic regression, by Adam over all rows; zero if there is but one class."""
+    w, b = np.zeros(x.shape[1]), 0.0
+    if not len(y) or y.min() == y.max():
+        return w, 0.0 if not len(y) else (4.0 if y[0] else -4.0)
+    weight = np.ones(len(y)) if weight is None else weight
+    weight = weight / weight.sum()
+    m, v = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
+    for t in range(1, steps + 1):
+        e = weight * (sigmoid(x @ w + b) - y)
+        g = np.append(x.T @ e + l2 * w, e.sum())
+        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
+        step = 0.1 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
+        w, b = w - step[:-1], b - step[-1]
+    return w, float(b)
+
+
+def sigmoid(z: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(z, -40, 40)))

@@ -6,14 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillmesh.llm import media_mpeg, mixing
+from quillmesh.llm import html_density, media_mpeg, mixing, toxicity_kn
 
 
-def _over(table: str, f: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: f(spark.read.parquet(f"{sf_dir}/{table}.parquet"))
+def _over(table: str, f: Callable[..., DataFrame], *more: str) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: f(*[spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in (table, *more)])
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_toxicity_kn": _over("documents", toxicity_kn.op6, "labels"),
+    "op8_html_density": _over("pages", html_density.op8),
     "op9_mix_sources": _over("documents", mixing.op9),
     "op10_media_mpeg": _over("documents", media_mpeg.op10),
 }
