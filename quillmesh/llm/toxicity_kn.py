@@ -30,6 +30,8 @@ DISCOUNT = 0.75
 BELIEF = 8.0
 #: Pairs seen less often in all training texts are left to the backoff.
 CUTOFF = 5
+#: Letters of a word that tell it from others: forms of one expression share their counts.
+STEM = 5
 SPANS = (1, 3, 6)
 _PAIR = np.dtype([("pair", "<u8"), ("v", "<u4"), ("w", "<u4"), ("n0", "<u4"), ("n1", "<u4")])
 _CELL = np.dtype([("table", "u1"), ("at", "<u4"), ("n", "<u4")])
@@ -44,7 +46,7 @@ def tokens(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     """Hashes of all lower-cased words of letters, of the word before each (a fixed one at the start), and words per text."""
     words, n = [], []
     for t in texts:
-        got = _WORDS.findall((t or "").lower())
+        got = [x[:STEM] for x in _WORDS.findall((t or "").lower())]
         n.append(len(got))
         words.extend(map(_hashes.__getitem__, got))
     w, n = np.array(words, np.uint64), np.array(n, np.int64)
@@ -77,7 +79,12 @@ def gather(train: DataFrame, text: str, bits: int) -> dict[str, np.ndarray]:
             if not len(w):
                 continue
             y = np.repeat(np.array(b.column(1).to_pylist(), np.int64), n)
-            key, first, back = np.unique(pairs_of(v, w), return_index=True, return_inverse=True)
+            # a pair counts once in a text: what one text repeats says little about its class
+            pair, of = pairs_of(v, w), np.repeat(np.arange(len(n)), n)
+            order = np.lexsort((pair, of))
+            once = order[np.append(True, (np.diff(of[order]) != 0) | (np.diff(pair[order]) != 0))]
+            v, w, y = v[once], w[once], y[once]
+            key, first, back = np.unique(pair[once], return_index=True, return_inverse=True)
             rows = np.zeros(len(key), _PAIR)
             rows["pair"], rows["v"], rows["w"] = key, v[first] & mask, w[first] & mask
             rows["n0"], rows["n1"] = np.bincount(back, y == 0, len(key)), np.bincount(back, y == 1, len(key))
@@ -131,7 +138,7 @@ def ratios(model: dict[str, np.ndarray], v: np.ndarray, w: np.ndarray) -> np.nda
         p = of_word * own + (1 - of_word) * shared
         seen = model[f"word{c}"][before]  # as often as a word occurs it begins a pair, but for the last of a text
         down = np.maximum(seen, 1)
-        high = np.maximum(model[f"pair{c}"][pair] - DISCOUNT, 0) / down + np.where(seen > 0, DISCOUNT * np.minimum(model[f"types{c}"][before] / down, 1), 1.0) * p
+        high = np.maximum(np.minimum(model[f"pair{c}"][pair], seen) - DISCOUNT, 0) / down + np.where(seen > 0, DISCOUNT * np.minimum(model[f"types{c}"][before] / down, 1), 1.0) * p
         logs.append(np.log(of_pair * high + (1 - of_pair) * p))
     return logs[1] - logs[0]
 
@@ -169,9 +176,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "t
     got = common.labelled(docs, labels, label, CALIBRATION_ROWS, fold == 1).select(text, "y").mapInArrow(scored, "y int, x array<double>").toArrow()
     x, y = np.array(got.column("x").to_pylist()).reshape(-1, 1 + len(SPANS)), np.array(got.column("y").to_pylist(), float)
     model["mean"], model["spread"] = (x.mean(0), x.std(0) + 1e-9) if len(x) else (np.zeros(x.shape[1]), np.ones(x.shape[1]))
-    # both classes weigh alike, for 0.5 to part them
-    weight = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum()))
-    model["w"], model["b"] = common.logistic((x - model["mean"]) / model["spread"], y, weight, 1e-4, 1500)
+    model["w"], model["b"] = common.logistic((x - model["mean"]) / model["spread"], y, None, 1e-4, 1500)
     if len(y) and y.min() == y.max():
         model["b"] = 0.0
     shipped.unpersist()
