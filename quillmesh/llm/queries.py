@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillmesh.llm import html_density, media_mpeg, mixing, toxicity_kn
+from quillmesh.llm import cotraining, html_density, media_mpeg, mixing, quality_trees, toxicity_kn
 
 
 def _over(table: str, f: Callable[..., DataFrame], *more: str) -> Callable[[SparkSession, str], DataFrame]:
@@ -14,6 +14,8 @@ def _over(table: str, f: Callable[..., DataFrame], *more: str) -> Callable[[Spar
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_cotraining": _over("documents", cotraining.op1, "labels"),
+    "op4_quality_trees": _over("documents", quality_trees.op4, "labels"),
     "op6_toxicity_kn": _over("documents", toxicity_kn.op6, "labels"),
     "op8_html_density": _over("pages", html_density.op8),
     "op9_mix_sources": _over("documents", mixing.op9),
