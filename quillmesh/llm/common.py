@@ -112,13 +112,39 @@ def pack(ranges: np.ndarray, rows: np.ndarray) -> pa.RecordBatch:
     """The rows (a structured array) as one binary value for each range that has any: (range, data)."""
     order = np.argsort(ranges, kind="stable")
     ranges, rows = ranges[order], rows[order]
-    at = np.flatnonzero(np.diff(ranges, prepend=-1))
+    at = np.flatnonzero(np.append(len(ranges) > 0, ranges[1:] != ranges[:-1])[: len(ranges)])
     ends = np.append(at[1:], len(rows))
-    return pa.RecordBatch.from_arrays([pa.array(ranges[at].astype(np.int32)), pa.array([rows[a:b].tobytes() for a, b in zip(at, ends, strict=True)], pa.binary())], names=["range", "data"])
+    return pa.RecordBatch.from_arrays([pa.array((ranges[at] & 0x7FFFFFFF).astype(np.int32)), pa.array([b"".join(rows[f][a:b].tobytes() for f in rows.dtype.names) for a, b in zip(at, ends, strict=True)], pa.binary())], names=["range", "data"])
+
+
+def unpacked(data: bytes, dtype: np.dtype) -> np.ndarray:
+    """The rows of one value, which holds them column by column: so they compress."""
+    out, at = np.zeros(len(data) // dtype.itemsize, dtype), 0
+    for f in dtype.names:
+        out[f] = np.frombuffer(data, dtype[f], len(out), at)
+        at += len(out) * dtype[f].itemsize
+    return out
 
 
 def unpack(table: pa.Table, dtype: np.dtype) -> np.ndarray:
-    return np.concatenate([np.zeros(0, dtype), *(np.frombuffer(x.as_py(), dtype) for x in table.column("data"))])
+    return np.concatenate([np.zeros(0, dtype), *(unpacked(x.as_py(), dtype) for x in table.column("data"))])
+
+
+def joined(h: np.ndarray, length: int) -> np.ndarray:
+    """Hashes of all runs of `length` hashes, by doubling."""
+    done, out, width = 0, None, 1
+    while length:
+        if length & 1:
+            out, done = (h.copy(), width) if out is None else (_pair(out[: max(0, len(h) - done)], h[done:]), done + width)
+        if length := length >> 1:
+            h = _pair(h[: max(0, len(h) - width)], h[width:])
+            width *= 2
+    return out
+
+
+def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    n = min(len(a), len(b))
+    return mixed(a[:n] * np.uint64(0x9DDFEA08EB382D69) + b[:n])
 
 
 def held_out(doc_id: Column) -> Column:

@@ -109,14 +109,14 @@ def gather(train: DataFrame, text: str, bits: int) -> dict[str, np.ndarray]:
         place, back = np.unique(rows["table"].astype(np.int64) << 32 | rows["at"], return_inverse=True)
         out = _cells(0, place & 0xFFFFFFFF, np.bincount(back, rows["n"], len(place)))
         out["table"] = place >> 32
-        return pa.table({"range": pa.array([key[0].as_py()], pa.int32()), "data": pa.array([out.tobytes()], pa.binary())})
+        return pa.Table.from_batches([common.pack(np.full(len(out), key[0].as_py()), out)])
 
     kind = "range int, data binary"
     pairs = train.select(text, "y").mapInArrow(mapped, kind).groupBy("range").applyInArrow(reduced, kind)
     found = pairs.groupBy("range").applyInArrow(summed, kind)
     model = {t: np.zeros(1 << bits, np.float32) for t in TABLES}
     for row in found.toLocalIterator():
-        cells = np.frombuffer(row["data"], _CELL)
+        cells = common.unpacked(row["data"], _CELL)
         for k, t in enumerate(TABLES):
             own = cells[cells["table"] == k]
             model[t][own["at"]] = own["n"]
