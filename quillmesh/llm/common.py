@@ -113,7 +113,7 @@ def pack(ranges: np.ndarray, rows: np.ndarray) -> pa.RecordBatch:
     order = np.argsort(ranges, kind="stable")
     ranges, rows = ranges[order], rows[order]
     at = np.flatnonzero(np.append(len(ranges) > 0, ranges[1:] != ranges[:-1])[: len(ranges)])
-    ends = np.append(at[1:], len(rows))
+    ends = np.append(at[1:], len(rows))[: len(at)]
     return pa.RecordBatch.from_arrays([pa.array((ranges[at] & 0x7FFFFFFF).astype(np.int32)), pa.array([b"".join(rows[f][a:b].tobytes() for f in rows.dtype.names) for a, b in zip(at, ends, strict=True)], pa.binary())], names=["range", "data"])
 
 

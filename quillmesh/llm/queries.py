@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillmesh.llm import cotraining, html_density, media_mpeg, mixing, quality_trees, substring_blocks, toxicity_kn
+from quillmesh.llm import cotraining, html_density, media_mpeg, mixing, quality_trees, signature_trees, substring_blocks, toxicity_kn
 
 
 def _over(table: str, f: Callable[..., DataFrame], *more: str) -> Callable[[SparkSession, str], DataFrame]:
@@ -15,6 +15,7 @@ def _over(table: str, f: Callable[..., DataFrame], *more: str) -> Callable[[Spar
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_cotraining": _over("documents", cotraining.op1, "labels"),
+    "op2_signature_trees": _over("documents", lambda docs: signature_trees.near_duplicates(docs.select("doc_id", "text"))),
     "op3_substring_blocks": _over("documents", substring_blocks.op3),
     "op4_quality_trees": _over("documents", quality_trees.op4, "labels"),
     "op6_toxicity_kn": _over("documents", toxicity_kn.op6, "labels"),
