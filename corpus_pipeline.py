@@ -3,8 +3,25 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quillmesh.llm import common, mixing
+from quillmesh.llm import common, line_winnowing, mixing, packing, signature_trees, toxicity_kn
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the toxicity models do not reject."""
+    return toxicity_kn.kept(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without repeated runs of lines; n_chars follows. A document that had only such runs goes."""
+    out = line_winnowing.dedup(docs).where("n_removed = 0 OR n_removed < n_lines")
+    return out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+
+
+def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return signature_trees.one_of_each(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -12,9 +29,14 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mixed(docs)
 
 
-STAGES = [("mix_sources", mix_sources)]
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Training sequences."""
+    return packing.op5(docs)
+
+
+STAGES = [("toxicity", drop_toxic), ("line_dedup", dedup_lines), ("ngram_jaccard", dedup_near), ("mix_sources", mix_sources), ("packing", pack)]
 
-#: Tokenising and trained models are beyond SQL; tests hold run() against brute force.
+#: Tokenising and trained models are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
