@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from quillmesh.llm import common
 
-SIZE, END, GROUPS = 1024, 2, 24
+SIZE, END, GROUPS = 1024, 2, 256
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 _tokenizers: dict = {}
 
