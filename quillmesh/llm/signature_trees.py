@@ -66,7 +66,7 @@ def dual(x: Tree, y: Tree, own: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]
     a, b = np.zeros(1, np.int64), np.zeros(1, np.int64)
     for level in range(depth, -1, -1):
         kx, ky = min(level, len(x.levels) - 1), min(level, len(y.levels) - 1)
-        outs = []
+        outs = [(a[:0], b[:0])]
         for s in range(0, len(a), 65536):
             i, j = a[s : s + 65536], b[s : s + 65536]
             (bx, lx, hx, cx0, cx1), (by, ly, hy, cy0, cy1) = x.levels[kx], y.levels[ky]

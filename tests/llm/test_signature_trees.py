@@ -38,3 +38,14 @@ def test_chains_and_edges(spark):
         rows.append((i, " ".join(base)))
     check(spark.createDataFrame(rows, "doc_id long, text string"))
     assert st.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_traversal_that_prunes_everything():
+    bits = np.zeros((20, 16), np.uint64)
+    bits[np.arange(20), np.arange(20) % 16] = np.uint64(255)
+    size, component = np.full(20, 10), np.arange(20)
+    tree = st.Tree(bits, size, component)
+    (a, b), = st.dual(tree, tree, True)
+    assert sorted(zip(a.tolist(), b.tolist(), strict=True)) == [(i, i + 16) for i in range(4)]
+    same = st.Tree(bits, size, np.zeros(20, int))
+    assert [len(x) for p in st.dual(same, same, True) for x in p] == [0, 0]
