@@ -26,3 +26,34 @@ def without_tracking(url: Column) -> Column:
     plain = F.regexp_replace(url, r"#.*$", "")
     plain = F.regexp_replace(plain, r"([?&])utm_[^&]*(&|$)", "$1")
     return F.regexp_replace(plain, r"[?&]$", "")
+
+
+def slug(value: Column, length: int = 28) -> Column:
+    """Lower-case letters and digits joined by hyphens; x if there are none."""
+    s = F.substring(F.trim(F.regexp_replace(F.lower(value), r"[^a-z0-9]+", "-"), F.lit("-")), 1, length)
+    return F.when(s == "", "x").otherwise(s)
+
+
+def clip(value: Column, length: int) -> Column:
+    """White space runs as one space; what exceeds the length ends in an ellipsis."""
+    flat = F.trim(F.regexp_replace(value, r"[ \t\n\x0B\f\r]+", " "))
+    return F.when(F.length(flat) > length, F.concat(F.rtrim(F.substring(flat, 1, length - 1)), F.lit("…"))).otherwise(flat)
+
+
+def html_escape(value: Column) -> Column:
+    for plain, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#x27;")):
+        value = F.replace(value, F.lit(plain), F.lit(entity))
+    return value
+
+
+def number_in_text(value: Column, source: Column) -> Column:
+    """Whether every number of the value, of which there must be one, stands in the source; commas aside."""
+    found, plain = F.regexp_extract_all(value, F.lit(r"\d+(?:[.,]\d+)*"), F.lit(0)), F.replace(source, F.lit(","), F.lit(""))
+    return (F.size(found) > 0) & F.forall(found, lambda n: F.contains(plain, F.replace(n, F.lit(","), F.lit(""))))
+
+
+def route(value: Column, rules: list[tuple[str, str]], default: str = "unmatched") -> Column:
+    """The segment of the first rule whose needle the value contains, in any case."""
+    low = F.lower(value)
+    hits = [F.when(F.contains(low, F.lit(needle.lower())), segment) for needle, segment in rules]
+    return F.coalesce(*hits, F.lit(default))
