@@ -5,24 +5,26 @@ and from there to one shared distribution of continuation counts, so an expressi
 nothing. A text's evidence is the difference of the length-normalised log-likelihoods, over the whole text and over its
 most toxic spans; a logistic calibration on a bounded fold that the counts have not seen turns it into a score.
 
-Counts come from all labelled rows outside the held-out and the calibration fold, so they grow with the input. Words
-and pairs are kept by hash in arrays whose size follows the number of training words, up to 2**MAX_BITS cells; this is
-all that is broadcast or brought to the driver (at most 59 MB).
+Counts come from all labelled rows outside the held-out and the calibration fold, so they grow with the input, and so does
+the model: a written table of pairs and words, each by its own 64-bit hash, with the log-ratio that its counts give.
+Texts are dealt into slices; what a slice has of pairs and words meets the table by range of the hash, and the ratios
+found go back to the slice. Nothing of the model but sums of its columns is broadcast or brought to the driver.
 """
 
 from __future__ import annotations
 
+import pickle
 import re
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillmesh.llm import common
 
-MAX_BITS = 21
 #: Rows of the calibration fold that are used at most.
 CALIBRATION_ROWS = 20_000
 DISCOUNT = 0.75
@@ -33,10 +35,10 @@ CUTOFF = 5
 #: Letters of a word that tell it from others: forms of one expression share their counts.
 STEM = 5
 SPANS = (1, 3, 6)
-_PAIR = np.dtype([("pair", "<u8"), ("v", "<u4"), ("w", "<u4"), ("n0", "<u4"), ("n1", "<u4")])
-_CELL = np.dtype([("table", "u1"), ("at", "<u4"), ("n", "<u4")])
-#: Tables of a model: pair counts by class, word counts by class, continuations begun by class, shared continuations.
-TABLES = ("pair0", "pair1", "word0", "word1", "types0", "types1", "shared")
+_ENTRY = np.dtype([("key", "<u8"), ("r", "<f4")])
+_KEY = np.dtype([("key", "<u8")])
+#: Bytes of text in a slice: the longer, the fewer pairs and words are asked for twice.
+SLICE = 4_000_000
 _WORDS = re.compile(r"[^\W\d_]+")
 _START = np.uint64(0x9E3779B97F4A7C15)
 _hashes = common.Hashes()
@@ -61,17 +63,14 @@ def pairs_of(v: np.ndarray, w: np.ndarray) -> np.ndarray:
     return common.mixed(v * np.uint64(0x9DDFEA08EB382D69) + w)
 
 
-def _cells(table: int, at: np.ndarray, n: np.ndarray | None = None) -> np.ndarray:
-    at, n = (at, n) if n is not None else np.unique(at, return_counts=True)
-    out = np.zeros(len(at), _CELL)
-    out["table"], out["at"], out["n"] = table, at, n
-    return out[out["n"] > 0]
+def words_keys(w: np.ndarray) -> np.ndarray:
+    """Keys of single words, beside those of pairs."""
+    return common.mixed(w ^ _START)
 
 
-def gather(train: DataFrame, text: str, bits: int) -> dict[str, np.ndarray]:
-    """The tables of the model from rows (text, y): pairs meet by range of their hash, cells by range of their place."""
-    spark = train.sparkSession
-    n_ranges, mask = common.ranges(spark), np.uint64((1 << bits) - 1)
+def counted(train: DataFrame, text: str) -> tuple[DataFrame, DataFrame]:
+    """Of rows (text, y), each pair with its texts by class (n0, n1), and each word with its texts (n0, n1), the pairs that it
+    begins (t0, t1) and the pairs that it ends (s)."""
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in common.slices(batches, text):
@@ -85,73 +84,146 @@ def gather(train: DataFrame, text: str, bits: int) -> dict[str, np.ndarray]:
             once = order[np.append(True, (np.diff(of[order]) != 0) | (np.diff(pair[order]) != 0))]
             v, w, y = v[once], w[once], y[once]
             key, first, back = np.unique(pair[once], return_index=True, return_inverse=True)
-            rows = np.zeros(len(key), _PAIR)
-            rows["pair"], rows["v"], rows["w"] = key, v[first] & mask, w[first] & mask
-            rows["n0"], rows["n1"] = np.bincount(back, y == 0, len(key)), np.bincount(back, y == 1, len(key))
-            yield common.pack((key >> np.uint64(40)).astype(np.int64) % n_ranges, rows)
-
-    def reduced(key: tuple, t: pa.Table) -> pa.Table:
-        rows = common.unpack(t, _PAIR)
-        pair, first, back = np.unique(rows["pair"], return_index=True, return_inverse=True)
-        n = [np.bincount(back, rows[c], len(pair)).astype(np.int64) for c in ("n0", "n1")]
-        v, w, at = rows["v"][first], rows["w"][first], pair & mask
-        parts, often = [_cells(6, w)], n[0] + n[1] >= CUTOFF
-        for c in (0, 1):
-            parts.append(_cells(c, at[often], n[c][often]))
-            words = np.bincount(np.unique(w, return_inverse=True)[1], n[c])
-            parts.append(_cells(2 + c, np.unique(w), words))
-            parts.append(_cells(4 + c, v[n[c] > 0]))
-        cells = np.concatenate(parts)
-        return pa.Table.from_batches([common.pack(cells["at"].astype(np.int64) * n_ranges >> bits, cells)])
-
-    def summed(key: tuple, t: pa.Table) -> pa.Table:
-        rows = common.unpack(t, _CELL)
-        place, back = np.unique(rows["table"].astype(np.int64) << 32 | rows["at"], return_inverse=True)
-        out = _cells(0, place & 0xFFFFFFFF, np.bincount(back, rows["n"], len(place)))
-        out["table"] = place >> 32
-        return pa.Table.from_batches([common.pack(np.full(len(out), key[0].as_py()), out)])
-
-    kind = "range int, data binary"
-    pairs = train.select(text, "y").mapInArrow(mapped, kind).groupBy("range").applyInArrow(reduced, kind)
-    found = pairs.groupBy("range").applyInArrow(summed, kind)
-    model = {t: np.zeros(1 << bits, np.float32) for t in TABLES}
-    for row in found.toLocalIterator():
-        cells = common.unpacked(row["data"], _CELL)
-        for k, t in enumerate(TABLES):
-            own = cells[cells["table"] == k]
-            model[t][own["at"]] = own["n"]
-    return model
+            n0, n1 = (np.bincount(back, y == c, len(key)).astype(np.int64) for c in (0, 1))
+            yield pa.RecordBatch.from_arrays([*(pa.array(x.view(np.int64)) for x in (key, v[first], w[first])), pa.array(n0), pa.array(n1)], names=["pair", "v", "w", "n0", "n1"])
+
+    found = train.select(text, "y").mapInArrow(mapped, "pair long, v long, w long, n0 long, n1 long")
+    pairs = common.as_table(found.groupBy("pair", "v", "w").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")), "toxicity-pairs")
+    ends = pairs.selectExpr("w AS word", "n0", "n1", "0L AS t0", "0L AS t1", "1L AS s")
+    begins = pairs.selectExpr("v AS word", "0L AS n0", "0L AS n1", "CAST(n0 > 0 AS LONG) AS t0", "CAST(n1 > 0 AS LONG) AS t1", "0L AS s")
+    words = ends.unionAll(begins).groupBy("word").agg(*[F.sum(c).alias(c) for c in ("n0", "n1", "t0", "t1", "s")])
+    return pairs, common.as_table(words, "toxicity-words")
+
+
+def ratios(pairs: DataFrame, words: DataFrame) -> DataFrame:
+    """pair, word (one of them null) and r: log P(word | before, toxic) - log P(word | before, ordinary). An unseen pair has its
+    word's, an unseen word 0."""
+    row = words.selectExpr("coalesce(sum(n0), 0)", "coalesce(sum(n1), 0)", "coalesce(sum(s), 0)", "count_if(n0 > 0)", "count_if(n1 > 0)", "count(*)").first()
+    total, shared_total, kinds, n_words = row[:2], row[2], row[3:5], row[5]
+    shared = (F.col("s") + 0.5) / (shared_total + 0.5 * (n_words + 1))
+
+    def belief(n: Column) -> Column:
+        # what both classes together have seen seldom tells them apart by chance only: the rarer, the more backs off
+        return n / (n + BELIEF)
+
+    def mixture(share: Column, a: Column, b: Column) -> Column:
+        return share * a + (1 - share) * b
+
+    def own(c: int) -> Column:
+        back = DISCOUNT * kinds[c] / total[c] if total[c] else 1.0
+        return F.greatest(F.col(f"n{c}") - DISCOUNT, F.lit(0.0)) / max(total[c], 1) + back * shared
+
+    words = words.select("*", *[mixture(belief(F.col("n0") + F.col("n1")), own(c), shared).alias(f"p{c}") for c in (0, 1)])
+    of_words = words.where("s > 0").select(F.lit(None).cast("long").alias("pair"), "word", (F.log("p1") - F.log("p0")).alias("r"))
+    after = words.select(F.col("word").alias("w"), "p0", "p1")
+    before = words.select(F.col("word").alias("v"), *[F.col(c + k).alias(d + k) for c, d in (("n", "seen"), ("t", "types")) for k in "01"])
+
+    def high(c: int) -> Column:
+        # as often as a word occurs it begins a pair, but for the last of a text
+        seen, down = F.col(f"seen{c}"), F.greatest(F.col(f"seen{c}"), F.lit(1))
+        back = F.when(seen > 0, DISCOUNT * F.least(F.col(f"types{c}") / down, F.lit(1.0))).otherwise(1.0)
+        return F.greatest(F.least(F.col(f"n{c}"), seen) - DISCOUNT, F.lit(0.0)) / down + back * F.col(f"p{c}")
+
+    often = pairs.where(F.col("n0") + F.col("n1") >= CUTOFF).join(after, "w").join(before, "v")
+    logs = [F.log(mixture(belief(F.col("n0") + F.col("n1")), high(c), F.col(f"p{c}"))) for c in (0, 1)]
+    return often.select("pair", F.lit(None).cast("long").alias("word"), (logs[1] - logs[0]).alias("r")).unionAll(of_words)
+
+
+_SENT = "range int, slice string, start long, data binary"
+
+
+def _sent(ranges: pa.Array, name: str, starts: np.ndarray, data: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([ranges, pa.array([name] * len(ranges), pa.string()), pa.array(starts, pa.int64()), data], names=["range", "slice", "start", "data"])
 
 
-def ratios(model: dict[str, np.ndarray], v: np.ndarray, w: np.ndarray) -> np.ndarray:
-    """Of each word, log P(word | before, toxic) - log P(word | before, ordinary)."""
-    mask = np.uint64(len(model["shared"]) - 1)
-    pair, before, word = (pairs_of(v, w) & mask).astype(np.int64), (v & mask).astype(np.int64), (w & mask).astype(np.int64)
-    shared = (model["shared"][word] + 0.5) / (model["totals"][2] + 0.5 * len(model["shared"]))
-    # what both classes together have seen seldom tells them apart by chance only: the rarer, the more backs off
-    pairs, words = (model[f"{t}0"][i] + model[f"{t}1"][i] for t, i in (("pair", pair), ("word", word)))
-    of_pair, of_word = pairs / (pairs + BELIEF), words / (words + BELIEF)
-    logs = []
-    for c in (0, 1):
-        total, kinds = model["totals"][c], model["totals"][3 + c]
-        own = np.maximum(model[f"word{c}"][word] - DISCOUNT, 0) / max(total, 1) + (DISCOUNT * kinds / total if total else 1.0) * shared
-        p = of_word * own + (1 - of_word) * shared
-        seen = model[f"word{c}"][before]  # as often as a word occurs it begins a pair, but for the last of a text
-        down = np.maximum(seen, 1)
-        high = np.maximum(np.minimum(model[f"pair{c}"][pair], seen) - DISCOUNT, 0) / down + np.where(seen > 0, DISCOUNT * np.minimum(model[f"types{c}"][before] / down, 1), 1.0) * p
-        logs.append(np.log(of_pair * high + (1 - of_pair) * p))
-    return logs[1] - logs[0]
-
-
-def evidence(model: dict[str, np.ndarray], texts: list[str | None]) -> np.ndarray:
-    """Of each text: mean log-ratio over all words, and the greatest mean over spans of 1, 3 and 6 words; 0 without words."""
-    v, w, n = tokens(texts)
-    r = ratios(model, v, w) if len(w) else np.zeros(0)
-    out, sums, at = np.zeros((len(texts), 1 + len(SPANS))), np.append(0, np.cumsum(r)), 0
+def gather(train: DataFrame, text: str) -> DataFrame:
+    """The model's table from rows (text, y): keys with their ratios, by range of the key."""
+    n_ranges = common.ranges(train.sparkSession)
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            pair, word, r = (x.to_numpy(zero_copy_only=False) for x in (b.column(0).fill_null(0), b.column(1).fill_null(0), b.column(2)))
+            rows = np.zeros(len(r), _ENTRY)
+            rows["key"] = np.where(b.column(0).is_valid().to_numpy(zero_copy_only=False), pair.view(np.uint64), words_keys(word.view(np.uint64)))
+            rows["r"] = r
+            if len(rows):
+                got = common.pack(_range_of(rows["key"], n_ranges), rows)
+                yield _sent(got.column(0), "", np.zeros(got.num_rows, np.int64), got.column(1))
+
+    return common.as_table(ratios(*counted(train, text)).mapInArrow(packed, _SENT), "toxicity-model")
+
+
+def _range_of(keys: np.ndarray, n: int) -> np.ndarray:
+    return (keys >> np.uint64(40)).astype(np.int64) % n
+
+
+def with_evidence(docs: DataFrame, table: DataFrame, text: str) -> DataFrame:
+    """docs with __x: mean log-ratio over all words, and the greatest mean over spans of 1, 3 and 6 words; 0 without words."""
+    n_ranges = common.ranges(docs.sparkSession)
+
+    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in common.slices(batches, "text", SLICE):
+            v, w, n = tokens(b.column(1).to_pylist())
+            if not len(w):
+                continue
+            pair, first, at = np.unique(pairs_of(v, w), return_index=True, return_inverse=True)
+            word, of = np.unique(words_keys(w[first]), return_inverse=True)
+            keys = np.concatenate([pair, word])
+            ranges = _range_of(keys, n_ranges)
+            order = np.argsort(ranges, kind="stable")
+            place = np.empty(len(order), np.uint32)
+            place[order] = np.arange(len(order))
+            rows = np.zeros(len(keys), _KEY)
+            rows["key"] = keys[order]
+            sent, name = common.pack(ranges[order], rows), uuid.uuid4().hex
+            sizes = np.array([len(x.as_py()) for x in sent.column(1)], np.int64) // _KEY.itemsize
+            own = pickle.dumps((b.column(0).to_pylist(), n, at.astype(np.uint32), place[: len(pair)], place[len(pair) :][of], len(keys)))
+            yield _sent(sent.column(0), name, np.cumsum(sizes) - sizes, sent.column(1))
+            yield _sent(pa.array([-1], pa.int32()), name, np.array([len(own)]), pa.array([pa.compress(own, "zstd", asbytes=True)], pa.binary()))
+
+    def answered(key: tuple, t: pa.Table) -> pa.Table:
+        names, starts = t.column("slice").to_pylist(), t.column("start").to_pylist()
+        data = t.column("data")
+        model = np.concatenate([np.zeros(0, _ENTRY), *(common.unpacked(data[i].as_py(), _ENTRY) for i, x in enumerate(names) if not x)])
+        model = model[np.argsort(model["key"])]
+        asks = [i for i, x in enumerate(names) if x]
+        out = []
+        for i in asks:
+            keys = common.unpacked(data[i].as_py(), _KEY)["key"]
+            r = np.full(len(keys), np.nan, np.float32)
+            if len(model):
+                k = np.minimum(np.searchsorted(model["key"], keys), len(model) - 1)
+                r = np.where(model["key"][k] == keys, model["r"][k], r)
+            out.append(r.tobytes())
+        return pa.table([pa.array([key[0].as_py()] * len(asks), pa.int32()), pa.array([names[i] for i in asks], pa.string()), pa.array([starts[i] for i in asks], pa.int64()), pa.array(out, pa.binary())], names=["range", "slice", "start", "data"])
+
+    def weighed(key: tuple, t: pa.Table) -> pa.Table:
+        rows = list(zip(*(t.column(c).to_pylist() for c in ("range", "start", "data")), strict=True))
+        size, own = next((s, d) for k, s, d in rows if k < 0)
+        ids, n, at, pair, word, n_keys = pickle.loads(pa.decompress(own, size, "zstd", asbytes=True))
+        found = np.full(n_keys, np.nan, np.float32)
+        for k, start, d in rows:
+            if k >= 0:
+                found[start : start + len(d) // 4] = np.frombuffer(d, np.float32)
+        # an unseen pair is left to its word
+        r = np.nan_to_num(np.where(np.isnan(found[pair]), found[word], found[pair]).astype(float))[at]
+        return pa.table([pa.array(ids, pa.string()), pa.array(evidence(r, n).tolist(), pa.list_(pa.float64()))], names=["__h", "__x"])
+
+    docs = docs.withColumn("__h", F.md5(F.encode(text, "UTF-8")))
+    slices = common.as_table(docs.where("__h IS NOT NULL").select("__h", F.col(text).alias("text")).mapInArrow(asked, _SENT), "toxicity-slices")
+    answers = slices.where("range >= 0").unionAll(table).groupBy("range").applyInArrow(answered, _SENT)
+    found = answers.unionAll(slices.where("range < 0")).groupBy("slice").applyInArrow(weighed, "__h string, __x array<double>")
+    none = F.array(*[F.lit(0.0)] * (1 + len(SPANS)))
+    return docs.join(found.groupBy("__h").agg(F.first("__x").alias("__x")), "__h", "left").drop("__h").withColumn("__x", F.coalesce("__x", none))
+
+
+def evidence(r: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Of texts with n words each, whose ratios are r: the mean over all, and the greatest over spans."""
+    out, at = np.zeros((len(n), 1 + len(SPANS))), 0
     for i, k in enumerate(n):
         if k:
-            s = sums[at : at + k + 1]
-            out[i, 0] = (s[-1] - s[0]) / k
+            s = np.append(0, np.cumsum(r[at : at + k]))
+            out[i, 0] = s[-1] / k
             for j, m in enumerate(SPANS):
                 m = min(m, k)
                 out[i, 1 + j] = (s[m:] - s[:-m]).max() / m
@@ -163,23 +235,14 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "t
     """The model from docs (doc_id, text) and labels (doc_id, label). Without labels every score is 0.5."""
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
     docs = docs.select("doc_id", text)
-    train = common.labelled(docs, labels, label, None, fold >= 2)
-    rows = labels.where(F.col(label).isNotNull() & (fold >= 2)).count()
-    model: dict = gather(train, text, max(14, min(MAX_BITS, (300 * rows).bit_length())))
-    model["totals"] = [float(model[t].sum(dtype=np.float64)) for t in ("word0", "word1", "shared")] + [float((model[t] > 0).sum()) for t in ("word0", "word1")]
-    shipped = train.sparkSession.sparkContext.broadcast(model)
-
-    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in common.slices(batches, text):
-            yield pa.RecordBatch.from_arrays([b.column(1).cast(pa.int32()), pa.array(evidence(shipped.value, b.column(0).to_pylist()).tolist(), pa.list_(pa.float64()))], names=["y", "x"])
-
-    got = common.labelled(docs, labels, label, CALIBRATION_ROWS, fold == 1).select(text, "y").mapInArrow(scored, "y int, x array<double>").toArrow()
-    x, y = np.array(got.column("x").to_pylist()).reshape(-1, 1 + len(SPANS)), np.array(got.column("y").to_pylist(), float)
+    model: dict = {"table": gather(common.labelled(docs, labels, label, None, fold >= 2), text)}
+    own = common.labelled(docs, labels, label, CALIBRATION_ROWS, fold == 1).select(text, "y")
+    got = with_evidence(own, model["table"], text).select("y", "__x").toArrow()
+    x, y = np.array(got.column("__x").to_pylist()).reshape(-1, 1 + len(SPANS)), np.array(got.column("y").to_pylist(), float)
     model["mean"], model["spread"] = (x.mean(0), x.std(0) + 1e-9) if len(x) else (np.zeros(x.shape[1]), np.ones(x.shape[1]))
     model["w"], model["b"] = common.logistic((x - model["mean"]) / model["spread"], y, None, 1e-4, 1500)
     if len(y) and y.min() == y.max():
         model["b"] = 0.0
-    shipped.unpersist()
     return model
 
 
@@ -189,24 +252,19 @@ def score(docs: DataFrame, model: dict, text: str = "text", name: str = "score")
     Null, empty and wordless texts get the score of no evidence; repeated rows score alike; an empty table stays empty;
     a column of docs called as the score is replaced.
     """
-    kept = [c for c in docs.columns if c.lower() not in (name.lower(), "__text")]
-    schema = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept), f"`{name}` double"])
-    shipped = docs.sparkSession.sparkContext.broadcast(model)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shipped.value
-        for b in common.slices(batches, "__text"):
-            x = (evidence(m, b.column(len(kept)).to_pylist()) - m["mean"]) / m["spread"]
-            yield pa.RecordBatch.from_arrays([*b.columns[: len(kept)], pa.array(common.sigmoid(x @ m["w"] + m["b"]))], names=[*kept, name])
-
-    return docs.select(*[F.col(f"`{c}`") for c in kept], F.col(text).alias("__text")).mapInArrow(run, schema)
+    kept = [c for c in docs.columns if c.lower() != name.lower()]
+    out = with_evidence(docs, model["table"], text)
+    z = F.lit(float(model["b"]))
+    for k, (mean, spread, w) in enumerate(zip(model["mean"], model["spread"], model["w"], strict=True)):
+        z = z + (F.col("__x")[k] - float(mean)) / float(spread) * float(w)
+    return out.select(*[F.col(f"`{c}`") for c in kept], (1 / (1 + F.exp(-F.greatest(F.least(z, F.lit(40.0)), F.lit(-40.0))))).alias(name))
 
 
 def op6(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The columns of the query."""
     docs = docs.select("doc_id", "text")
-    out = score(docs.withColumn("held_out", common.held_out(F.col("doc_id"))), fit(docs, labels))
-    return out.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    out = score(docs, fit(docs, labels))
+    return out.select("doc_id", common.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def kept(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
