@@ -1,10 +1,10 @@
 """HTML extraction by line-block distribution.
 
 Markup is stripped to lines (one per block element), each with its length of text outside links. Sums over sliding
-windows of lines form the distribution; a surge is where the sum leaves zero and a dive where it falls back, and the
-text between the surge and the dive around the greatest mass is kept. Elements that never hold article text (menus,
-footers, forms, adverts, comments ...) are cut out beforehand and leave a gap as wide as a window, so the sum dives at
-their edges; if the page has `article` or `main`, only lines within weigh.
+windows of lines form the distribution; a surge is where the sum leaves zero and a dive where it falls back. Of every page
+all stretches between a surge and its dive are kept whose mass reaches `THRESHOLD`, or is the greatest of the page where
+none does. Elements that never hold article text (menus, footers, forms, adverts, comments ...) are cut out beforehand and
+leave no trace; if the page has `article` or `main` with text, lines outside weigh nothing, and the sum dives at the edges.
 """
 
 from __future__ import annotations
@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame
 from quillmesh.llm import common
 
 WINDOW = 3
+#: Characters outside links that make a stretch main text by itself.
+THRESHOLD = 86
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(?:!|\?)[^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 _ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 # HTML element names by what they do here.
@@ -97,7 +99,6 @@ def lines(page: str) -> list[tuple[str, int, bool]]:
             last = _end_of(tokens, i - 1, name)
             if last is not None:
                 flush()
-                out.extend([("", 0, False)] * WINDOW)
                 i, at = last + 1, tokens[last][4]
                 continue
         if name in BLOCK:
@@ -105,8 +106,6 @@ def lines(page: str) -> list[tuple[str, int, bool]]:
             if name in ("article", "main"):
                 inside = max(0, inside + (-1 if end else 1))
                 out.extend([("", 0, False)] * WINDOW)
-            elif name in ("div", "section", "td"):
-                out.append(("", 0, False))
             link = 0
         elif name == "br":
             parts.append("\n")
@@ -123,23 +122,23 @@ def extract(page: str | None) -> str:
     if not page:
         return ""
     found = lines(page)
-    if any(x for _, x, inside in found if inside):
-        # every surge within article or main is main text; a page may hold several
+    within = any(x for _, x, inside in found if inside)
+    if within:
         return "\n\n".join(t for t, _, inside in found if t and inside)
     weights = [x for _, x, _ in found]
     sums = [sum(weights[i : i + WINDOW]) for i in range(len(weights))]
-    best, mass = (0, 0), 0
+    stretches = []
     i = 0
     while i < len(sums):
-        if not sums[i]:
+        if not weights[i]:  # the window sees a surge before its first line
             i += 1
             continue
         surge = i
         while i < len(sums) and sums[i]:
             i += 1
-        if (got := sum(weights[surge:i])) > mass:
-            best, mass = (surge, i), got
-    return "\n\n".join(t for t, _, _ in found[best[0] : best[1]] if t)
+        stretches.append((sum(weights[surge:i]), surge, i))
+    least = min(THRESHOLD, max(stretches, default=(0,))[0])
+    return "\n\n".join(t for mass, a, b in stretches if mass >= least for t, _, _ in found[a:b] if t)
 
 
 def extract_pages(pages: DataFrame, html_col: str = "html") -> DataFrame:

@@ -30,3 +30,10 @@ def test_query(spark):
     rows = h.op8(pages).collect()
     assert sorted((r["page_id"] or 0, r["text"][:4], r["n_chars"] == len(r["text"])) for r in rows) == [(0, "", True), (1, "Head", True), (1, "Head", True), (2, "", True)]
     assert h.extract_pages(pages.limit(0)).count() == 0
+
+
+def test_cut_elements_and_wrappers_do_not_split():
+    assert h.extract('<div><p>A</p><div class="ad">x</div><p>B</p></div>') == "A\n\nB"
+    assert h.extract("<div><section><div><p>One</p></div></section><section><div><p>Two</p></div></section></div>") == "One\n\nTwo"
+    text, links = "Words of a stretch that is main text by itself. " * 3, "".join(f"<p><a href=x>{k}</a></p>" for k in range(3))
+    assert h.extract(f"<p>{text}</p>{links}<p>{text}</p>").count("stretch") == 6
