@@ -123,9 +123,7 @@ def extract(page: str | None) -> str:
         return ""
     found = lines(page)
     within = any(x for _, x, inside in found if inside)
-    if within:
-        return "\n\n".join(t for t, _, inside in found if t and inside)
-    weights = [x for _, x, _ in found]
+    weights = [x if inside or not within else 0 for _, x, inside in found]
     sums = [sum(weights[i : i + WINDOW]) for i in range(len(weights))]
     stretches = []
     i = 0

@@ -32,6 +32,13 @@ def test_query(spark):
     assert h.extract_pages(pages.limit(0)).count() == 0
 
 
+def test_density_decides_within_article():
+    text = "A paragraph of the article, long enough to be main text by itself, as it has over a hundred characters in all."
+    links = "".join(f"<li><a href=x>Link {k}</a></li>" for k in range(4))
+    assert h.extract(f"<article><p>{text}</p><ul class=more>{links}</ul><p>{text}</p></article><div>{text}</div>") == f"{text}\n\n{text}"
+    assert h.extract(f"<article><p>{text}</p><ul>{links}</ul><p>Short notice</p></article>") == text
+
+
 def test_cut_elements_and_wrappers_do_not_split():
     assert h.extract('<div><p>A</p><div class="ad">x</div><p>B</p></div>') == "A\n\nB"
     assert h.extract("<div><section><div><p>One</p></div></section><section><div><p>Two</p></div></section></div>") == "One\n\nTwo"
