@@ -1,7 +1,7 @@
 """Line dedup by winnowing.
 
-Lines (white space at the ends cut, blank ones aside) are hashed. Of every two neighbouring pairs of lines the one with
-the least hash is a fingerprint, so any run of three lines has one, the same in every copy; a line of `LONG` words is a
+Lines (white space at the ends cut, blank ones aside) are hashed. Every pair of neighbouring lines is a fingerprint (a
+winnowing window of one pair), so any run of two lines has one, the same in every copy; a line of `LONG` words is a
 fingerprint by itself. Positions of equal fingerprints meet by hash range; each later one is laid beside the earliest,
 the match is extended both ways, and the later run goes. A fingerprint that a third of the documents have brings one
 comparison a document, never pairs.
@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,28 +24,20 @@ LONG = 20
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _PLACE = np.dtype([("h", "<u8"), ("doc", "<i8"), ("line", "<u4")])
 _MATCH = np.dtype([("line", "<u4"), ("first", "<i8"), ("at", "<u4")])
-_hashes = common.Hashes()
 
 
 def lines_of(text: str | None) -> tuple[list[str], np.ndarray, np.ndarray]:
     """All lines, the places of those with a word, and their hashes."""
     lines = (text or "").split("\n")
     at = [k for k, x in enumerate(lines) if _WORD.search(x)]
-    return lines, np.array(at, np.int64), np.array([_hashes[lines[k].strip(" \t\r\v\f")] for k in at], np.uint64)
+    return lines, np.array(at, np.int64), np.array([xxhash.xxh3_64_intdigest(lines[k].strip(" \t\r\v\f").encode("utf-8", "surrogatepass")) for k in at], np.uint64)
 
 
 def fingerprints(lines: list[str], at: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes and places (among lines with a word) of the fingerprints."""
     pairs = common.joined(h, 2) if len(h) > 1 else np.zeros(0, np.uint64)
-    chosen = np.zeros(len(pairs), bool)
-    if len(pairs) == 1:
-        chosen[:] = True
-    elif len(pairs):
-        k = np.arange(len(pairs) - 1)
-        chosen[np.where(pairs[1:] <= pairs[:-1], k + 1, k)] = True
     long = np.array([k for k, x in enumerate(at) if len(_WORD.findall(lines[x])) >= LONG], np.int64)
-    own = np.flatnonzero(chosen)
-    return np.concatenate([pairs[own], common.mixed(h[long] + np.uint64(1))]), np.concatenate([own, long])
+    return np.concatenate([pairs, common.mixed(h[long] + np.uint64(1))]), np.concatenate([np.arange(len(pairs)), long])
 
 
 def dedup(docs: DataFrame) -> DataFrame:
@@ -94,9 +87,9 @@ def dedup(docs: DataFrame) -> DataFrame:
             for d, f, m, x, y in zip(*(b.column(k).to_pylist() for k in range(5)), strict=True):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
                 out = np.zeros(len(x), bool)
-                for k in m:
-                    i, j = k["line"], k["at"]
-                    if i >= len(x) or j >= len(y) or x[i] != y[j] or out[i]:
+                done: dict[int, int] = {}  # by alignment, the line up to which its matches are extended
+                for i, j in sorted((k["line"], k["at"]) for k in m):
+                    if i >= len(x) or j >= len(y) or x[i] != y[j] or i < done.get(i - j, 0):
                         continue
                     lo = hi = 0
                     while i - lo > 0 and j - lo > 0 and x[i - lo - 1] == y[j - lo - 1]:
@@ -104,6 +97,7 @@ def dedup(docs: DataFrame) -> DataFrame:
                     while i + hi + 1 < len(x) and j + hi + 1 < len(y) and x[i + hi + 1] == y[j + hi + 1]:
                         hi += 1
                     out[i - lo : i + hi + 1] = True
+                    done[i - j] = i + hi + 1
                 gone.append(np.flatnonzero(out).tolist())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(gone, pa.list_(pa.int64()))], names=["doc", "gone"])
 

@@ -26,3 +26,17 @@ def test_stages_keep_the_columns_of_documents(spark):
         docs, before = stage(spark, docs, "/root/testdata/sf0.001"), docs
         assert docs.columns == before.columns
     assert docs.count() > 0
+
+
+def test_every_run_of_two_lines_goes(spark):
+    rows = [(k, f"{a}\n{b}\nown {k}") for k, (a, b) in enumerate([(x, y) for x in "abcdefgh" for y in "ijklmnop"])]
+    later = [(1000 + k, f"new {k}\n{t.splitlines()[0]}\n{t.splitlines()[1]}\nother {k}") for k, t in rows]
+    got = {r["doc_id"]: r["text"] for r in line_winnowing.op7(spark.createDataFrame([*rows, *later], "doc_id long, text string")).collect()}
+    assert all(got[i] == f"new {k}\nother {k}" for k, (i, _) in enumerate(later))
+    assert all(got[i] == t for i, t in rows)
+
+
+def test_matches_at_another_alignment_are_extended(spark):
+    rows = [(1, f"{A}\n{B}\nx\n{B}\n{C}\n{D}"), (2, f"{A}\n{B}\n{C}\n{D}\nq")]
+    got = {r["doc_id"]: r["text"] for r in line_winnowing.op7(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[2] == "q"
