@@ -142,7 +142,7 @@ def _tags(data: bytes, out: Stream) -> tuple[int, int]:
                 out.tags[f"TXXX:{key}" if name == "TXXX" else name] = (rest if name == "TXXX" else text).rstrip("\0")
             at += 10 + n
         start = min(start + 10 + size + (10 if data[start + 5] & 0x10 else 0), end)
-    if end - start >= 128 and data[end - 128 : end - 125] == b"TAG":
+    if end - start >= 128 and data[end - 128 : end - 125] == b"TAG" and not _framed(data, start, end):
         end -= 128
         for name, a, b in (("title", 3, 33), ("artist", 33, 63), ("album", 63, 93)):
             if value := data[end + a : end + b].split(b"\0")[0].strip().decode("latin-1"):
@@ -150,6 +150,14 @@ def _tags(data: bytes, out: Stream) -> tuple[int, int]:
     return start, end
 
 
+def _framed(data: bytes, at: int, end: int) -> bool:
+    """Whether frames follow each other from `at` to the very end, so that no tag stands there."""
+    first = None
+    while at + 4 <= end and (f := header(data[at : at + 4])) and (first is None or _same(first, f)):
+        first, at = first or f, at + f.length
+    return first is not None and at == end
+
+
 def _table(data: bytes, at: int, f: Frame) -> dict:
     """The variable-bitrate table (Xing, Info or VBRI) of a first frame; empty if it holds none."""
     body = at + 4 + (2 if f.crc else 0) + f.side

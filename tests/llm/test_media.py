@@ -49,3 +49,14 @@ def test_query(spark):
         assert r["tail_crc32"] == zlib.crc32(payload[-32:])
     assert rows[5][1:] == rows[6][1:]
     assert m.op10(docs.limit(0)).count() == 0
+
+
+def test_payload_that_looks_like_a_tag():
+    from quillmesh.llm import media_mpeg
+
+    for blocks in (1, 3):
+        raw = b"x" * (576 * (blocks - 1) + 505) + b"TAG" + b"y" * 68
+        assert media_mpeg.decode(media_mpeg.encode(raw)) == raw
+    stream = media_mpeg.encode(b"z" * 1152)
+    tagged = media_mpeg.parse(stream + b"TAG" + b"title".ljust(125, b"\0"))
+    assert tagged.tags["ID3v1:title"] == "title" and len(tagged.offsets) == 2
