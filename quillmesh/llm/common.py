@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import pickle
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -11,12 +12,14 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A word is a run of anything but space, tab, line feed, vertical tab, form feed and carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _written: dict[str, list[str]] = {}
 
 
@@ -25,6 +28,8 @@ def shared_dir(spark: SparkSession) -> str:
     conf = spark.sparkContext.getConf()
     found = conf.get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("a cluster must name a shared folder in spark.checkpoint.dir")
         found = f"file://{tempfile.mkdtemp(prefix='quillmesh-')}"
         spark.conf.set("spark.checkpoint.dir", found)
     return found
@@ -34,16 +39,35 @@ def as_table(df: DataFrame, label: str) -> DataFrame:
     """Writes df to the shared folder and reads it again: lineage ends here, and a lost executor loses nothing."""
     spark = df.sparkSession
     path = os.path.join(shared_dir(spark), f"quillmesh-{spark.sparkContext.applicationId}", f"{label}-{uuid.uuid4().hex[:12]}")
-    df.write.parquet(path)
+    # nothing reads the shuffle files of a write that has ended
+    cleanup = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, cleanup)
     _written.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def drop_tables(spark: SparkSession) -> None:
     """Deletes the tables written so far. Only for callers whose earlier results have been written elsewhere."""
-    paths, jvm = _written.pop(spark.sparkContext.applicationId, []), spark.sparkContext._jvm
+    _delete(spark, _written.pop(spark.sparkContext.applicationId, []))
+
+
+def drop(table: DataFrame) -> None:
+    """Deletes a table of as_table that nothing will read again."""
+    spark = table.sparkSession
+    own = _written.get(spark.sparkContext.applicationId, [])
+    gone = [p for p in own if any(p.rsplit("/", 1)[1] in f for f in table.inputFiles()[:1])]
+    for p in gone:
+        own.remove(p)
+    _delete(spark, gone)
+
+
+def _delete(spark: SparkSession, paths: list[str]) -> None:
     for p in paths:
-        at = jvm.org.apache.hadoop.fs.Path(p)
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p)
         at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
@@ -99,15 +123,37 @@ def sized(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.R
 
 
 class Hashes(dict):
-    """64-bit hashes of words, remembered; bounded."""
+    """64-bit hashes of words, remembered; bounded by count and by the length of what is remembered."""
 
     def __missing__(self, word: str) -> int:
-        if len(self) > 400_000:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
+        h = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
+        if len(word) <= 32:
+            if len(self) >= 100_000:
+                self.clear()
+            self[word] = h
         return h
 
 
+class Vocabulary(dict):
+    """Words by number, in order of their first use."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = n = len(self)
+        return n
+
+
+_packer, _unpacker = zstandard.ZstdCompressor(level=3), zstandard.ZstdDecompressor()
+
+
+def squeeze(*arrays: np.ndarray) -> bytes:
+    """Arrays as one compressed value, byte plane by byte plane; ascending whole numbers are best given as differences."""
+    return _packer.compress(pickle.dumps([(a.dtype.str, len(a), np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.dtype.itemsize).T.tobytes()) for a in arrays]))
+
+
+def expand(value: bytes) -> list[np.ndarray]:
+    return [np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(-1, n).T).reshape(-1).view(kind) if n else np.zeros(0, kind) for kind, n, data in pickle.loads(_unpacker.decompress(value))]
+
+
 def pack(ranges: np.ndarray, rows: np.ndarray) -> pa.RecordBatch:
     """The rows (a structured array) as one binary value for each range that has any: (range, data)."""
     order = np.argsort(ranges, kind="stable")
