@@ -9,13 +9,17 @@ a piece finds its place by its rank among the pieces of its length.
 
 from __future__ import annotations
 
+import json
+import os
+import re
 import zlib
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -26,17 +30,38 @@ from quillmesh.llm import common
 SIZE, END, GROUPS = 1024, 2, 256
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 _tokenizers: dict = {}
+#: Characters that both libraries' patterns class alike, and the longest run of other than white space that the fast one merges.
+_OTHER, RUN = re.compile("[^\x00-\u024f\u2010-\u2027\u20ac]"), 500
 
 
-def _tokenizer(path: str):  # noqa: ANN202
+def _tokenizer(path: str) -> Callable[[str], list[int]]:
+    """Ids as Tokenizer.encode(text, add_special_tokens=False) gives them. The same vocabulary as ranks gives the same ids several
+    times faster; texts with characters that the libraries could class unlike, or with long runs, go to the tokenizer itself."""
     if path not in _tokenizers:
-        import os
-
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        _tokenizers[path] = Tokenizer.from_file(path)
-        _tokenizers[path].encode_special_tokens = True
+        slow = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        special = {x["content"]: x["id"] for x in spec["added_tokens"]}
+        plain = spec["pre_tokenizer"]
+        if plain["type"] != "ByteLevel" or plain["add_prefix_space"] or not plain["use_regex"] or spec["normalizer"] or spec["model"].get("ignore_merges"):
+            _tokenizers[path] = lambda text: slow.encode(text, add_special_tokens=False).ids
+            return _tokenizers[path]
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that stand for themselves; the rest by order from 256 on
+        to_byte = {chr(x): x for x in shown} | {chr(256 + k): x for k, x in enumerate(sorted(set(range(256)) - set(shown)))}
+        ranks = {bytes(to_byte[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in special}
+        fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
+
+        def encode(text: str) -> list[int]:
+            words = text.split()
+            alike = (text.isascii() or not _OTHER.search(text)) and len(text) - sum(map(len, words)) < len(words) + RUN
+            if alike and max(map(len, words), default=0) <= RUN and not any(x in text for x in special):
+                return fast.encode_ordinary(text)
+            return slow.encode(text, add_special_tokens=False).ids
+
+        _tokenizers[path] = encode
     return _tokenizers[path]
 
 
@@ -149,8 +174,8 @@ def pack(docs: DataFrame, vocabulary: str = VOCABULARY, size: int = SIZE, ids: b
         t, part, seen = _tokenizer(vocabulary), TaskContext.get().partitionId(), np.zeros(size + 1, np.int64)
         for b in common.slices(batches, "text", 1_000_000):
             cols: list[list] = [[] for _ in range(8)]
-            for i, e in zip(b.column(0).to_pylist(), t.encode_batch([x or "" for x in b.column(1).to_pylist()], add_special_tokens=False), strict=True):
-                own = np.array([*e.ids, END], "<u4")
+            for i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                own = np.array(t(text or "") + [END], "<u4")
                 for k, (s, n) in enumerate(cut(len(own), size)):
                     piece = own[s : s + n]
                     for c, v in zip(cols, (i, k, s, n, zlib.crc32(piece.tobytes()), part, seen[n], piece.astype(np.int32) if ids else None), strict=True):

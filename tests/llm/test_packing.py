@@ -9,7 +9,6 @@ from quillmesh.llm import packing
 
 def sound(rows, docs):
     t = Tokenizer.from_file(packing.VOCABULARY)
-    t.encode_special_tokens = True
     by_doc, by_seq = defaultdict(list), defaultdict(list)
     for r in rows:
         by_doc[r["doc_id"]].append(r)
@@ -54,3 +53,12 @@ def test_plan_uses_every_length():
             for k in lengths:
                 used[k] += n
         assert used == counts
+
+
+def test_ids_are_those_of_the_tokenizer():
+    t, own, rng = Tokenizer.from_file(packing.VOCABULARY), packing._tokenizer(packing.VOCABULARY), np.random.default_rng(2)
+    alike = [chr(c) for c in [*range(0x250), *range(0x2010, 0x2028), 0x20AC]]
+    every = [*alike, *map(chr, [0x378, 0x3B1, 0x5D0, 0x661, 0xE01, 0x180E, 0x2028, 0x3000, 0x4E2D, 0xFEFF, 0x1F600, 0x1E030, 0x11F50])]
+    texts = ["", " ", "\n\n  x", "<|endoftext|>a <|endoftext|>", "a" * 3000, " " * 3000 + "b", "it's we'll I'D 've", *(chr(c) * 2 + f" a{chr(c)}1" for c in range(0x250))]
+    texts += ["".join(rng.choice(x, rng.integers(1, 60))) for x in (alike, every) for _ in range(1500)]
+    assert all(own(x) == t.encode(x, add_special_tokens=False).ids for x in texts)
