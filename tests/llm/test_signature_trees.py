@@ -49,3 +49,30 @@ def test_traversal_that_prunes_everything():
     assert sorted(zip(a.tolist(), b.tolist(), strict=True)) == [(i, i + 16) for i in range(4)]
     same = st.Tree(bits, size, np.zeros(20, int))
     assert [len(x) for p in st.dual(same, same, True) for x in p] == [0, 0]
+
+
+def test_one_id_with_two_texts_links_nothing(spark):
+    x, y = " ".join(f"x{i}" for i in range(40)), " ".join(f"y{i}" for i in range(40))
+    rows = [(1, x), (1, y), (2, x + " z"), (3, y + " z"), (None, x), (4, x), (4, x)]
+    got = sorted(((r["doc_id"] or 0, r["n_shingles"], r["component_id"]) for r in st.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()))
+    assert got == [(0, 36, 1), (1, 36, 1), (1, 36, 1), (2, 37, 1), (3, 37, 1), (4, 36, 1), (4, 36, 1)]
+
+
+def test_split_groups_lose_no_link(spark, monkeypatch):
+    monkeypatch.setattr(st, "BLOCK", 4)
+    rng, rows = np.random.default_rng(3), []
+    base = [f"w{i}" for i in range(120)]
+    for i in range(60):
+        t = list(base)
+        for k in rng.integers(0, 120, rng.integers(0, 5)):
+            t[k] = f"v{rng.integers(0, 40)}"
+        rows.append((i, " ".join(t)))
+    check(spark.createDataFrame(rows, "doc_id long, text string"))
+
+
+def test_one_of_each_keeps_columns_and_wordless_rows(spark):
+    x = " ".join(f"x{i}" for i in range(40))
+    rows = [(1, x, "a"), (2, x, "b"), (3, "", "c"), (None, x, "d"), (5, None, "e"), (1, x, "a")]
+    got = st.one_of_each(spark.createDataFrame(rows, "doc_id long, text string, class string"))
+    assert got.columns == ["doc_id", "text", "class"]
+    assert sorted(r["class"] for r in got.collect()) == ["a", "c", "d", "e"]
