@@ -41,7 +41,7 @@ N_FEATURES = 3 + len(SPANS) + len(SHARES)
 #: Bytes of text in a slice; pairs and words repeat less between longer ones.
 SLICE = 24_000_000
 #: Pairs of the model in a range; texts' rounds.
-RANGE_PAIRS, ROUNDS = 1 << 18, 4
+RANGE_PAIRS, ROUNDS = 1 << 18, 2
 _WORDS = re.compile(r"[^\W\d_]+")
 _START = np.uint64(0x9E3779B97F4A7C15)
 
@@ -118,8 +118,11 @@ def counted(train: DataFrame, text: str) -> DataFrame:
             n0, n1 = (np.bincount(back, y[once] == c, len(pair)).astype(np.int64) for c in (0, 1))
             yield pa.RecordBatch.from_arrays([pa.array(h[pair // len(h)].view(np.int64)), pa.array(h[pair % len(h)].view(np.int64)), pa.array(n0), pa.array(n1)], names=["v", "w", "n0", "n1"])
 
-    found = train.select(text, "y").mapInArrow(mapped, "v long, w long, n0 long, n1 long")
-    return common.as_table(found.groupBy("v", "w").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")), "toxicity-pairs")
+    own = common.as_table(train.select(text, "y"), "toxicity-training")
+    found = own.mapInArrow(mapped, "v long, w long, n0 long, n1 long")
+    pairs = common.as_table(found.groupBy("v", "w").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")), "toxicity-pairs")
+    common.drop(own)
+    return pairs
 
 
 def discount(n: Column) -> Column:
@@ -133,14 +136,16 @@ def _discounted(n: np.ndarray) -> np.ndarray:
     return np.append(0.0, DISCOUNTS)[np.minimum(n, len(DISCOUNTS))]
 
 
-def probabilities(pairs: DataFrame) -> tuple[DataFrame, DataFrame, list[float]]:
+def probabilities(pairs: DataFrame) -> tuple[DataFrame, DataFrame, list[float], list[DataFrame]]:
     """words: word, p0, p1 (null if it only begins pairs), seen0, seen1, l0, l1 (how often it begins a pair, and the mass
-    that goes to the backoff); stems: stem, q0, q1 (an unseen form's share of mass); and an unseen stem's two."""
+    that goes to the backoff); stems: stem, q0, q1 (an unseen form's share of mass); an unseen stem's two; and the tables
+    that these read."""
     stem = F.shiftrightunsigned("word", 24)
     ends = pairs.selectExpr("w AS word", "CAST(n0 > 0 AS LONG) AS s0", "CAST(n1 > 0 AS LONG) AS s1", "1L AS s", "0L AS seen0", "0L AS seen1", "0D AS l0", "0D AS l1")
     begins = pairs.select(F.col("v").alias("word"), *[F.lit(0).cast("long").alias(c) for c in ("s0", "s1", "s")], F.col("n0").alias("seen0"), F.col("n1").alias("seen1"), discount(F.col("n0")).alias("l0"), discount(F.col("n1")).alias("l1"))
     words = common.as_table(ends.unionAll(begins).groupBy("word").agg(*[F.sum(c).alias(c) for c in ends.columns[1:]]), "toxicity-words")
     stems = common.as_table(words.where("s > 0").groupBy(stem.alias("stem")).agg(*[F.sum(c).alias(f"x{c[1:]}") for c in ("s0", "s1", "s")], F.count("*").alias("forms")), "toxicity-stems")
+    scratch = [words, stems]
     whole = words.agg(*[F.coalesce(F.sum(x), F.lit(0)) for x in ("s0", "s1", "s")], *[F.coalesce(F.sum(discount(F.col(c))), F.lit(0.0)) for c in ("s0", "s1")]).first()
     of_stems = stems.agg(*[F.coalesce(F.sum(discount(F.col(c))), F.lit(0.0)) for c in ("x0", "x1")], F.count("*")).first()
     total, all_, left, left_stems, n_stems = whole[:2], max(1, whole[2]), whole[3:5], of_stems[:2], of_stems[2]
@@ -156,9 +161,11 @@ def probabilities(pairs: DataFrame) -> tuple[DataFrame, DataFrame, list[float]]:
     form = (F.col("s") - SHARED) / F.col("x")
     p = [F.when(F.col("s") > 0, part(F.col(f"s{c}") - discount(F.col(f"s{c}")), c, F.lit(0.0)) + F.col(f"q{c}") * form).alias(f"p{c}") for c in (0, 1)]
     unseen = [over[c] * part(left_stems[c], c, 1.0) * SHARED * max(1, n_stems) / all_ for c in (0, 1)]
-    return words.select("word", *p, "seen0", "seen1", "l0", "l1"), stems.select("stem", "q0", "q1"), unseen
+    return words.select("word", *p, "seen0", "seen1", "l0", "l1"), stems.select("stem", "q0", "q1"), unseen, scratch
 
 
+#: Rows of the model that are packed at a time.
+_PACKED = 1 << 20
 _SENT = "range int, slice binary, data binary"
 _PAIRS = "v long, w long, n0 long, n1 long"
 
@@ -177,43 +184,57 @@ def _cuts(keys: np.ndarray, width: int, bits: int) -> np.ndarray:
     return np.concatenate([[0], np.searchsorted(keys, edges), [len(keys)]])
 
 
+def _together(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Table]:
+    """The rows of batches, about `size` at a time."""
+    held, n = [], 0
+    for b in batches:
+        if b.num_rows:
+            held.append(b)
+            n += b.num_rows
+        if n >= size:
+            yield pa.Table.from_batches(held)
+            held, n = [], 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def gather(train: DataFrame, text: str) -> dict:
     """The model from rows (text, y): its table by range of the keys, and what belongs to no key."""
     pairs = counted(train, text)
     n = pairs.count()
     bits = max(3, (-(-n // RANGE_PAIRS) - 1).bit_length())
     width = min(64, max(1, n).bit_length() + 20)
-    words, stems, unseen = probabilities(pairs)
+    words, stems, unseen, scratch = probabilities(pairs)
 
-    def packed(of: Callable[[pa.RecordBatch], tuple[int, int, list[np.ndarray]]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def packed(of: Callable[[pa.Table], tuple[int, int, list[np.ndarray]]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                kind, own, (keys, *values) = of(b)
-                if len(keys):
-                    order = np.argsort(keys)
-                    keys, values = keys[order], [x[order] for x in values]
-                    at = _cuts(keys, own, bits)
-                    yield _sent([(k, b"", bytes([kind]) + common.squeeze(_ascending(keys[i:j]), *[x[i:j] for x in values])) for k, (i, j) in enumerate(zip(at[:-1], at[1:], strict=True)) if i < j])
+            for rows in _together(batches, _PACKED):
+                kind, own, (keys, *values) = of(rows)
+                order = np.argsort(keys)
+                keys, values = keys[order], [x[order] for x in values]
+                at = _cuts(keys, own, bits)
+                yield _sent([(k, b"", bytes([kind]) + common.squeeze(_ascending(keys[i:j]), *[x[i:j] for x in values])) for k, (i, j) in enumerate(zip(at[:-1], at[1:], strict=True)) if i < j])
 
         return run
 
-    def longs(b: pa.RecordBatch, k: int) -> np.ndarray:
-        return b.column(k).to_numpy(zero_copy_only=False)
+    def longs(b: pa.Table, k: int) -> np.ndarray:
+        return b.column(k).to_numpy()
 
-    def of_pairs(b: pa.RecordBatch) -> tuple[int, int, list[np.ndarray]]:
+    def of_pairs(b: pa.Table) -> tuple[int, int, list[np.ndarray]]:
         keys = pair_keys(longs(b, 0).view(np.uint64), longs(b, 1).view(np.uint64)) >> np.uint64(64 - width)
         return 0, width, [keys, longs(b, 2).astype(np.uint32), longs(b, 3).astype(np.uint32)]
 
-    def of_words(b: pa.RecordBatch) -> tuple[int, int, list[np.ndarray]]:
-        p = [np.nan_to_num(b.column(k).to_numpy(zero_copy_only=False).astype(np.float32)) for k in (1, 2)]
+    def of_words(b: pa.Table) -> tuple[int, int, list[np.ndarray]]:
+        p = [np.nan_to_num(longs(b, k).astype(np.float32)) for k in (1, 2)]
         return 1, 64, [longs(b, 0).view(np.uint64), *p, *(longs(b, k).astype(np.uint32) for k in (3, 4)), *(longs(b, k).astype(np.float32) for k in (5, 6))]
 
-    def of_stems(b: pa.RecordBatch) -> tuple[int, int, list[np.ndarray]]:
+    def of_stems(b: pa.Table) -> tuple[int, int, list[np.ndarray]]:
         return 2, 40, [longs(b, 0).view(np.uint64), *(longs(b, k).astype(np.float32) for k in (1, 2))]
 
     parts = [x.mapInArrow(packed(f), _SENT) for x, f in ((pairs.select("v", "w", "n0", "n1"), of_pairs), (words, of_words), (stems, of_stems))]
     table = common.as_table(reduce(DataFrame.unionAll, parts), "toxicity-model")
-    common.drop(pairs)
+    for t in (pairs, *scratch):
+        common.drop(t)
     return {"table": table, "bits": bits, "width": width, "unseen": unseen}
 
 
@@ -326,10 +347,10 @@ def with_evidence(docs: DataFrame, model: dict, text: str) -> DataFrame:
             x = np.zeros((len(n), N_FEATURES))
         return pa.table([pa.array([digests[k : k + 16].tobytes() for k in range(0, len(digests), 16)], pa.binary()), pa.array(x.tolist(), pa.list_(pa.float64()))], names=["__h", "__x"])
 
-    texts = docs.where(F.col(text).isNotNull()).select(_digest(text).alias("__h"), F.col(text).alias("text"))
+    texts = docs.where(F.col(text).isNotNull())
     out = []
     for k in range(ROUNDS):
-        own = texts.where(F.pmod(F.crc32("__h"), F.lit(ROUNDS)) == k)
+        own = texts.where(F.pmod(F.xxhash64(text), F.lit(ROUNDS)) == k).select(_digest(text).alias("__h"), F.col(text).alias("text"))
         answers = own.mapInArrow(asked, _SENT).unionAll(model["table"]).groupBy("range").applyInArrow(answered, _SENT)
         found = answers.unionAll(own.mapInArrow(kept, _SENT)).groupBy("slice").applyInArrow(weighed, "__h binary, __x array<double>")
         out.append(common.as_table(found.groupBy("__h").agg(F.first("__x").alias("__x")), "toxicity-evidence"))
