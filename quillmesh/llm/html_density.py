@@ -21,7 +21,7 @@ from quillmesh.llm import common
 WINDOW = 3
 #: Characters outside links that make a stretch main text by itself.
 THRESHOLD = 86
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(?:!|\?)[^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+_NAME, _STOP = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)"), re.compile("[>\"']")
 _ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 # HTML element names by what they do here.
 RAW = frozenset("script style noscript template textarea title iframe object svg math canvas audio video xmp noembed noframes".split())
@@ -42,32 +42,59 @@ def _marked(attributes: str, inside: bool) -> bool:
     return bool(words & MARKS) or not inside and bool(words & _OUTSIDE)
 
 
-def _end_of(tokens: list, i: int, name: str) -> int | None:
-    """Index of the end tag that closes the element begun at i; None if none does."""
-    depth = 0
-    for j in range(i, len(tokens)):
-        if tokens[j][1] == name:
-            depth += -1 if tokens[j][0] else 1
-            if not depth:
-                return j
-    return None
+def _tags(page: str) -> list[tuple[bool, str, str, int, int]]:
+    """All tags, comments and raw elements (nameless), as (is end tag, name, attributes, start, end), in one pass: a quote that
+    nothing closes is a character like others, and what nothing ends is searched for once."""
+    out, at, last = [], 0, {c: page.rfind(c) for c in "\"'>"}
+    endless: set[str] = set()
+    while (start := page.find("<", at)) >= 0:
+        if page.startswith(("<!", "<?"), start):
+            end, skip = (page.find("-->", start + 4), 3) if page.startswith("<!--", start) else (page.find(">", start), 1)
+            at = end + skip if end >= 0 else len(page)
+            out.append((False, "", "", start, at))
+            continue
+        m = _NAME.match(page, start)
+        if not m:
+            at = start + 1
+            continue
+        k = m.end()
+        while (c := _STOP.search(page, k)) and c[0] != ">":
+            k = page.find(c[0], c.end()) + 1 if c.end() <= last[c[0]] else c.end()
+        if not c:
+            at = start + 1
+            if start > last[">"]:
+                break
+            continue
+        at, name, attributes = c.end(), m[2].lower(), page[m.end() : c.start()]
+        out.append((bool(m[1]), name, attributes, start, at))
+        if name in RAW and not m[1] and not attributes.endswith("/"):
+            stop = None if name in endless else re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(page, at)
+            if stop:
+                out[-1] = (False, "", "", start, stop.end())
+                at = stop.end()
+            elif name in ("script", "style"):
+                break
+            endless |= set() if stop else {name}
+    return out
+
+
+def _ends(tokens: list) -> dict[int, int]:
+    """By index of a start tag, the index of the end tag that closes it."""
+    out: dict[int, int] = {}
+    begun: dict[str, list[int]] = {}
+    for k, (end, name, *_) in enumerate(tokens):
+        if not end:
+            begun.setdefault(name, []).append(k)
+        elif begun.get(name):
+            out[begun[name].pop()] = k
+    return out
 
 
 def lines(page: str) -> list[tuple[str, int, bool]]:
     """The page as lines: text, its length outside links, whether within article or main. An empty line is a gap."""
     out: list[tuple[str, int, bool]] = []
-    tokens, at, n = [], 0, len(page)  # (is end tag, name, attributes, start, end)
-    while at < n and (m := _TOKEN.search(page, at)):
-        at = m.end()
-        name = (m[2] or "").lower()
-        tokens.append((bool(m[1]), name, m[3] or "", m.start(), at))
-        if name in RAW and not m[1] and not (m[3] or "").endswith("/"):
-            stop = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(page, at)
-            if stop is None and name in ("script", "style"):
-                break
-            if stop:
-                tokens[-1] = (False, "", "", m.start(), stop.end())
-                at = stop.end()
+    tokens = _tags(page)
+    closes = _ends(tokens)
     parts: list[str] = []
     free = inside = link = 0
 
@@ -96,7 +123,7 @@ def lines(page: str) -> list[tuple[str, int, bool]]:
         if not name:
             continue
         if not end and name not in VOID and name not in ("html", "body", "article", "main") and (name in CUT or name == "header" and not inside or _marked(attributes, inside > 0)):
-            last = _end_of(tokens, i - 1, name)
+            last = closes.get(i - 1)
             if last is not None:
                 flush()
                 i, at = last + 1, tokens[last][4]

@@ -1,5 +1,10 @@
 """HTML extraction on small pages whose main text is known."""
 
+import difflib
+import html
+import re
+import time
+
 from quillmesh.llm import html_density as h
 
 PAGE = """<!doctype html><html><head><title>T</title><style>p {}</style></head><body><nav><a href=x>Home</a></nav>
@@ -44,3 +49,25 @@ def test_cut_elements_and_wrappers_do_not_split():
     assert h.extract("<div><section><div><p>One</p></div></section><section><div><p>Two</p></div></section></div>") == "One\n\nTwo"
     text, links = "Words of a stretch that is main text by itself. " * 3, "".join(f"<p><a href=x>{k}</a></p>" for k in range(3))
     assert h.extract(f"<p>{text}</p>{links}<p>{text}</p>").count("stretch") == 6
+
+
+def test_hostile_pages_take_linear_time():
+    for unit in ('<p class="x', "<nav>", '<a "', "<title>", "<", "<!", "<a '\"", "<div class=ad>", "<svg>"):
+        page = unit * (1_000_000 // len(unit))
+        start = time.process_time()
+        h.extract(page)
+        assert time.process_time() - start < 20, unit
+
+
+def test_known_text_with_and_without_article(spark):
+    """The pages' articles by another parser: h1 and p of article; with their tags renamed, only classes and density are left."""
+    pages = [r["html"] for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select("html").collect()]
+    for page in pages:
+        inner = re.sub(r"(?s)<(script|style|form)\b.*?</\1>", "", re.search(r"(?s)<article>(.*?)</article>", page)[1])
+        inner = re.sub(r'(?s)<(div|aside|section) class="(?:ad|comment|notice|share)[^"]*">.*?</\1>', "", inner)
+        known = [" ".join(html.unescape(re.sub("<[^>]*>", " ", x)).split()) for x in re.split(r"(?i)</?(?:p|h1|h2|h3|li|ul|div|section)\b[^>]*>", inner)]
+        known = "".join("".join(x.split()) for x in known)
+        got = "".join(h.extract(page).split())
+        renamed = "".join(h.extract(re.sub(r"(</?)(?:article|main)\b", r"\1div", page)).split())
+        assert got == known
+        assert difflib.SequenceMatcher(None, renamed[:3000], known[:3000], autojunk=False).ratio() > 0.9
