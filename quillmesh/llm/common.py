@@ -6,7 +6,7 @@ import os
 import pickle
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -142,6 +142,13 @@ class Vocabulary(dict):
         return n
 
 
+def hashed(words: Iterable[str], n: int) -> np.ndarray:
+    """64-bit hashes of n words, each distinct one hashed once."""
+    vocabulary = Vocabulary()
+    ids = np.fromiter(map(vocabulary.__getitem__, words), np.int64, n)
+    return np.array([xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) for w in vocabulary], np.uint64)[ids]
+
+
 _packer, _unpacker = zstandard.ZstdCompressor(level=3), zstandard.ZstdDecompressor()
 
 

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,6 @@ _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _PLACE = np.dtype([("h", "<u8"), ("doc", "<i8"), ("pos", "<u4")])
 _BLOCK = np.uint32(1 << 31)
 _NO_ID = np.iinfo(np.int64).max
-_hashes = common.Hashes()
 _KIND = "range int, data binary"
 
 
@@ -34,8 +34,8 @@ def _read(b: pa.RecordBatch) -> tuple[np.ndarray, list[list[str]], np.ndarray, n
     """Ids (null: the greatest), words of each text, all words' hashes, texts' starts in them."""
     ids = b.column(0).fill_null(_NO_ID).to_numpy(zero_copy_only=False)
     words = [_WORD.findall(t or "") for t in b.column(1).to_pylist()]
-    h = np.array([_hashes[w] for ws in words for w in ws], np.uint64)
-    return ids, words, h, np.append(0, np.cumsum([len(w) for w in words]))
+    starts = np.append(0, np.cumsum([len(w) for w in words]))
+    return ids, words, common.hashed(chain.from_iterable(words), int(starts[-1])), starts
 
 
 def _runs(h: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
