@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import pickle
 import re
-from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -36,13 +35,18 @@ _LETTERS, _DIGITS = re.compile(r"[^\W\d_]+"), re.compile(r"\d+")
 _hash = common.Hashes()
 
 
-def text_view(text: str | None) -> np.ndarray:
-    """Statistics of the text and, hashed, the shares of its word shapes (letters as one a, digits as one 0)."""
-    out = np.zeros(len(statistics.FEATURES) + SHAPES)
-    out[: len(statistics.FEATURES)] = statistics.features(text, statistics.base(text))
-    shapes = Counter(_DIGITS.sub("0", _LETTERS.sub("a", w)) for w in statistics.words_of(text))
-    for s, n in shapes.items():
-        out[len(statistics.FEATURES) + _hash[s] % SHAPES] += n / max(1, shapes.total())
+def text_views(texts: list[str | None]) -> np.ndarray:
+    """Statistics of each text and, hashed, the shares of its word shapes (letters as one a, digits as one 0)."""
+    stats = len(statistics.FEATURES)
+    out, vocabulary, ids = np.zeros((len(texts), stats + SHAPES)), common.Vocabulary(), []
+    for k, t in enumerate(texts):
+        words = statistics.words_of(t)
+        out[k, :stats] = statistics.features(t, statistics.base(t, words), words)
+        ids.append(np.fromiter(map(vocabulary.__getitem__, words), np.int64, len(words)))
+    cell = np.array([_hash[_DIGITS.sub("0", _LETTERS.sub("a", w))] % SHAPES for w in vocabulary], np.int64)
+    for k, x in enumerate(ids):
+        if len(x):
+            out[k, stats:] = np.bincount(cell[x], minlength=SHAPES) / len(x)
     return out
 
 
@@ -58,7 +62,7 @@ def meta_view(lang: str | None, source: str | None, n_chars: int | None) -> np.n
 
 def _views(b: pa.RecordBatch, at: int) -> tuple[np.ndarray, np.ndarray]:
     text, lang, source, n = (b.column(at + k).to_pylist() for k in range(4))
-    t = np.stack([text_view(x) for x in text])
+    t = text_views(text)
     m = np.stack([meta_view(*x) for x in zip(lang, source, n, strict=True)])
     return t, m
 

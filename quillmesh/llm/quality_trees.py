@@ -80,8 +80,12 @@ def predict(model: dict, x: np.ndarray) -> np.ndarray:
 
 
 def _measured(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    b = [statistics.base(t) for t in texts]
-    return np.array(b, np.int64).reshape(-1, 5), np.array([statistics.features(t, x) for t, x in zip(texts, b, strict=True)]).reshape(-1, len(statistics.FEATURES))
+    b, x = [], []
+    for t in texts:
+        words = statistics.words_of(t)
+        b.append(statistics.base(t, words))
+        x.append(statistics.features(t, b[-1], words))
+    return np.array(b, np.int64).reshape(-1, 5), np.array(x, float).reshape(-1, len(statistics.FEATURES))
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int = TRAIN_ROWS) -> dict:

@@ -9,6 +9,7 @@ import numpy as np
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _SYMBOL = re.compile(r"[#*$%&|<>]")
+_DIGIT = re.compile(r"\d")
 _SHAPE = re.compile(r"[^\W\d_]+")
 WINDOW = 8
 
@@ -34,9 +35,9 @@ def repeated_words(words: list[str]) -> int:
     return int((np.cumsum(edge)[:-1] > 0).sum())
 
 
-def base(text: str | None) -> tuple[int, int, int, int, int]:
-    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words."""
-    words = words_of(text)
+def base(text: str | None, words: list[str] | None = None) -> tuple[int, int, int, int, int]:
+    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words; words: those of the text, if known."""
+    words = words_of(text) if words is None else words
     lines = Counter(x for x in (text or "").split("\n") if _WORD.search(x))
     return len(words), sum(map(len, words)), len(_SYMBOL.findall(text or "")), sum(lines.values()) - len(lines), repeated_words(words)
 
@@ -45,9 +46,9 @@ def base(text: str | None) -> tuple[int, int, int, int, int]:
 FEATURES = {"log_words": 0, "word_length": 0, "symbols": -1, "dup_lines": -1, "repeats": -1, "distinct": 0, "digits": 0, "letters": 0, "upper": 0, "line_words": 0, "stops": 0, "odd_words": -1}
 
 
-def features(text: str | None, b: tuple[int, int, int, int, int]) -> list[float]:
+def features(text: str | None, b: tuple[int, int, int, int, int], words: list[str] | None = None) -> list[float]:
     text, (n, chars, symbols, dup, rep) = text or "", b
-    words, size, lines = words_of(text), max(1, len(text)), text.count("\n") + 1
-    letters, digits = sum(map(len, _SHAPE.findall(text))), sum(map(str.isdigit, text))
-    odd = sum(1 for w in words if not _SHAPE.search(w))
+    words, size, lines = words_of(text) if words is None else words, max(1, len(text)), text.count("\n") + 1
+    shapes, digits = _SHAPE.findall(text), len(_DIGIT.findall(text))
+    letters, odd = sum(map(len, shapes)), sum(1 for w in set(words) - set(shapes) if not _SHAPE.search(w)) and sum(1 for w in words if not _SHAPE.search(w))
     return [np.log1p(n), chars / max(1, n), symbols / max(1, n), dup / lines, rep / max(1, n), len(set(words)) / max(1, n), digits / size, letters / size, sum(map(str.isupper, text)) / size, n / lines, (text.count(".") + text.count("!") + text.count("?")) / max(1, n), odd / max(1, n)]
