@@ -73,15 +73,15 @@ def token_estimate(documents: DataFrame) -> DataFrame:
     return documents.groupBy("source").agg((F.floor(n * F.lit(1.4).cast("double")) + 450 * F.count("*")).cast("long").alias("tokens"))
 
 
-@query("""WITH c AS (SELECT event_type, user_id, count(DISTINCT date_trunc('day', ts)) AS sources, count(*) AS n, 1 + user_id % 5 AS importance FROM events GROUP BY ALL),
-s AS (SELECT *, round(2 * sources + importance + n / 10, 2) AS score FROM c), t AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY score DESC, user_id) AS r FROM s),
+@query("""WITH c AS (SELECT event_type, user_id, count(DISTINCT date_trunc('day', ts)) AS sources, count(*) AS n, 1 + user_id % 5 AS importance, user_id % 3 > 0 AS told FROM events GROUP BY ALL),
+s AS (SELECT *, round_even(2 * sources + importance + n / 10, 2) AS score FROM c), t AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY 2 * sources + importance DESC, score DESC, user_id) AS r FROM s),
 a AS (SELECT *, row_number() OVER (PARTITION BY event_type, r > 1 AND sources >= 2 ORDER BY r) AS k FROM t), b AS (SELECT *, CASE WHEN r = 1 THEN 'TOP' WHEN sources >= 2 AND k <= 3 THEN 'TALKED_ABOUT' END AS one FROM a),
-q AS (SELECT *, row_number() OVER (PARTITION BY event_type, one IS NULL, importance >= 3, importance <= 2 ORDER BY r) AS k2 FROM b)
-SELECT event_type, user_id, score, coalesce(one, CASE WHEN importance >= 3 AND k2 <= 6 THEN 'QUICK_HIT' WHEN importance <= 2 AND k2 <= 2 THEN 'SKIP' END) AS role FROM q""", "events")
+q AS (SELECT *, row_number() OVER (PARTITION BY event_type, one IS NULL, told AND importance >= 3, told AND importance <= 2 ORDER BY r) AS k2 FROM b)
+SELECT event_type, user_id, score, coalesce(one, CASE WHEN told AND importance >= 3 AND k2 <= 6 THEN 'QUICK_HIT' WHEN told AND importance <= 2 AND k2 <= 2 THEN 'SKIP' END) AS role FROM q""", "events")
 def story_roles(events: DataFrame) -> DataFrame:
     rolled = events.groupBy("event_type", "user_id").agg(F.countDistinct(F.date_trunc("day", "ts")).alias("sources"), F.count("*").alias("n"))
-    scored = rolled.withColumn("importance", 1 + F.col("user_id") % 5).withColumn("score", stories.score(F.col("sources"), F.col("importance"), F.col("n")))
-    return stories.assign_roles(scored, "event_type", "user_id").select("event_type", "user_id", "score", "role")
+    scored = rolled.withColumns({"importance": 1 + F.col("user_id") % 5, "told": F.col("user_id") % 3 > 0}).withColumn("score", stories.score(F.col("sources"), F.col("importance"), F.col("n")))
+    return stories.assign_roles(scored, "event_type", "user_id", summary="told").select("event_type", "user_id", "score", "role")
 
 
 @query("SELECT page_id, CASE WHEN contains(lower(url), 'blog') THEN 'posts' WHEN contains(lower(url), 'news') THEN 'news' WHEN contains(lower(url), '.org') THEN 'org' ELSE 'unmatched' END AS segment FROM pages", "pages")

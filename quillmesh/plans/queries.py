@@ -24,9 +24,9 @@ def query(sql: str, *tables: str) -> Callable:
     return register
 
 
-@query("""WITH m AS (SELECT event_type, user_id, epoch_us(ts) / 1e6 AS t FROM events), g AS (SELECT *, t - lag(t) OVER (PARTITION BY event_type, user_id ORDER BY t) AS gap FROM m),
-c AS (SELECT event_type, user_id, count(*) AS n, max(t) AS last, list_sort(list(gap) FILTER (gap IS NOT NULL)) AS gaps FROM g GROUP BY ALL HAVING count(*) >= 4), d AS (SELECT *, gaps[len(gaps) // 2 + 1] AS med, (SELECT max(t) FROM m) AS now FROM c)
-SELECT event_type, user_id, n AS messages, round(med, 3) AS median_gap_s, round(now - last, 3) AS silent_s FROM d WHERE now - last > 3 * med""", "events")
+@query("""WITH a AS (SELECT event_type, user_id, epoch_us(ts) / 86400e6 AS t FROM events), m AS (SELECT *, (SELECT max(t) FROM a) AS now FROM a), l AS (SELECT * FROM m WHERE t >= now - 45),
+g AS (SELECT *, t - lag(t) OVER (PARTITION BY event_type, user_id ORDER BY t) AS gap FROM l), c AS (SELECT event_type, user_id, count(*) AS n, max(now) - max(t) AS silent, list_sort(list(gap) FILTER (gap IS NOT NULL)) AS gaps FROM g GROUP BY ALL HAVING count(*) >= 3)
+SELECT event_type, user_id, n AS messages, round(gaps[len(gaps) // 2 + 1], 4) AS usual_days, round(silent, 4) AS silent_days FROM c WHERE silent > greatest(4, 2.5 * gaps[len(gaps) // 2 + 1])""", "events")
 def quiet_sources(events: DataFrame) -> DataFrame:
     return health.quiet_sources(events)
 
@@ -53,11 +53,6 @@ def upsert_latest(events: DataFrame) -> DataFrame:
     return newest.select("user_id", "x.*")
 
 
-@query("SELECT d.doc_id FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id WHERE l.doc_id IS NULL AND d.n_chars > 0", "documents", "labels")
-def extract_worklist(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    return documents.where("n_chars > 0").join(labels, "doc_id", "left_anti").select("doc_id")
-
-
 @query("SELECT d.doc_id, l.quality FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id AND l.toxic = 0", "documents", "labels")
 def left_join_residual(documents: DataFrame, labels: DataFrame) -> DataFrame:
     return documents.join(labels.where("toxic = 0"), "doc_id", "left").select("doc_id", "quality")
@@ -71,20 +66,10 @@ def fourway_story_items(lineitem: DataFrame, orders: DataFrame, customer: DataFr
     return joined.groupBy("n_name").agg(F.sum("n").alias("items"), F.count("*").alias("stories"))
 
 
-@query(r"SELECT doc_id, len(regexp_extract_all(coalesce(text, ''), '[^ \t\n\x0B\f\r]+')) AS words, greatest(1, CAST(round_even(len(regexp_extract_all(coalesce(text, ''), '[^ \t\n\x0B\f\r]+')) / 200, 0) AS INTEGER)) AS minutes FROM documents", "documents")
+@query(r"SELECT doc_id, len(regexp_extract_all(coalesce(text, ''), '[^ \t\n\x0B\f\r]+')) AS words, round_even(len(regexp_extract_all(coalesce(text, ''), '[^ \t\n\x0B\f\r]+')) / 230, 1) AS minutes FROM documents", "documents")
 def word_counts(documents: DataFrame) -> DataFrame:
-    return documents.select("doc_id", text.word_count(F.col("text")).alias("words"), text.reading_minutes(F.col("text")).alias("minutes"))
-
-
-@query(r"SELECT page_id, regexp_replace(lower(regexp_extract(url, '^[a-zA-Z]+://([^/:?#]+)', 1)), '^(www|m)\.', '') AS domain, regexp_replace(regexp_replace(regexp_replace(url, '#.*$', ''), '([?&])utm_[^&]*(&|$)', '\1', 'g'), '[?&]$', '') AS canonical FROM pages", "pages")
-def canonical_urls(pages: DataFrame) -> DataFrame:
-    return pages.select("page_id", text.host(F.col("url")).alias("domain"), text.without_tracking(F.col("url")).alias("canonical"))
-
-
-@query("SELECT source, split_part(text, chr(10), 1) AS title, count(DISTINCT doc_id) AS documents FROM documents WHERE text IS NOT NULL GROUP BY ALL HAVING count(DISTINCT doc_id) >= 3", "documents")
-def recurring_titles(documents: DataFrame) -> DataFrame:
-    titled = documents.where("text IS NOT NULL").select("source", F.substring_index("text", "\n", 1).alias("title"), "doc_id")
-    return titled.groupBy("source", "title").agg(F.countDistinct("doc_id").alias("documents")).where("documents >= 3")
+    n = text.word_count(F.col("text"))
+    return documents.select("doc_id", n.alias("words"), text.reading_minutes(n).alias("minutes"))
 
 
 @query("SELECT md5(text) AS digest, min(doc_id) AS canonical, count(*) AS copies FROM documents WHERE text IS NOT NULL GROUP BY text HAVING count(*) > 1", "documents")
@@ -92,10 +77,10 @@ def dedupe_exact(documents: DataFrame) -> DataFrame:
     return documents.where("text IS NOT NULL").groupBy(F.md5(F.encode("text", "UTF-8")).alias("digest")).agg(F.min("doc_id").alias("canonical"), F.count("*").alias("copies")).where("copies > 1")
 
 
-@query("SELECT word, count(DISTINCT doc_id) AS df FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z]{3,}')) AS word FROM documents WHERE lang = 'en') GROUP BY word", "documents")
+@query("SELECT lang, word, count(DISTINCT doc_id) AS df FROM (SELECT doc_id, lang, unnest(regexp_extract_all(lower(text), '[a-z]{3,}')) AS word FROM documents) GROUP BY ALL", "documents")
 def doc_freq(documents: DataFrame) -> DataFrame:
-    words = documents.where("lang = 'en'").select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("([a-z]{3,})")))).alias("word"), "doc_id")
-    return words.groupBy("word").agg(F.count("*").alias("df"))
+    words = documents.select("lang", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("([a-z]{3,})")))).alias("word"), "doc_id")
+    return words.groupBy("lang", "word").agg(F.count("*").alias("df"))
 
 
 @query("SELECT conv_id, count(*) AS turns, string_agg(role || ': ' || text, chr(10) ORDER BY turn) AS prompt FROM conversations GROUP BY conv_id", "conversations")
