@@ -257,13 +257,13 @@ def with_items(rows: DataFrame, blocks: str = "blocks", subject: str = "subject"
     """rows without blocks, with items, split_shape and is_promo."""
     kept = [c for c in rows.columns if c not in (blocks, "items", "split_shape", "is_promo")]
     schema = ", ".join([*(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in kept), f"items array<{ITEM}>, split_shape string, is_promo int"])
-    at, about = rows.columns.index(blocks), rows.columns.index(subject)
+    at, about, own = rows.columns.index(blocks), rows.columns.index(subject), [rows.columns.index(c) for c in kept]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             found = [split(x or [], s) for x, s in zip(b.column(at).to_pylist(), b.column(about).to_pylist(), strict=True)]
             items = [[{"position": k, "section": it.section, "title": it.title, "body": it.body, "url": it.url, "kind": it.kind, "is_sponsor": it.sponsor, "word_count": _n(f"{it.title or ''} {it.body}"), "links": it.links} for k, it in enumerate(i, 1)] for i, _, _ in found]
-            yield pa.RecordBatch.from_arrays([*(b.column(rows.columns.index(c)) for c in kept), pa.array(items, _ITEMS), pa.array([s for _, s, _ in found]), pa.array([p for _, _, p in found], pa.int32())], names=[*kept, "items", "split_shape", "is_promo"])
+            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in own), pa.array(items, _ITEMS), pa.array([s for _, s, _ in found]), pa.array([p for _, _, p in found], pa.int32())], names=[*kept, "items", "split_shape", "is_promo"])
 
     return rows.mapInArrow(run, schema)
 

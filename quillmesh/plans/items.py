@@ -11,8 +11,8 @@ from quillmesh.functions import text as tx
 from quillmesh.operators import duplicates, similarity
 from quillmesh.plans.queries import ORACLES, QUERIES, query
 
-_NORM = r"trim(regexp_replace(translate(lower({0}), '’‘“”–—', '''''""--'), '\s+', ' ', 'g'))"
-_TITLE = r"regexp_replace(regexp_replace(regexp_replace(regexp_replace({0}, '(?i)\(\s*\d+\s*minute read\s*\)|\((github repo|website|sponsor)\)', '', 'g'), '^[^\p{{L}}\p{{N}}_""''“‘$]+', ''), '\s+', ' ', 'g'), '^[ :–-]+|[ :–-]+$', '', 'g')".replace('""', '"')
+_NORM = r"""trim(regexp_replace(translate(lower({0}), '’‘“”–—', '''''""--'), '\s+', ' ', 'g'))"""
+_TITLE = r"""regexp_replace(regexp_replace(regexp_replace(regexp_replace({0}, '(?i)\(\s*\d+\s*minute read\s*\)|\((github repo|website|sponsor)\)', '', 'g'), '^[^\p{{L}}\p{{N}}_"''“‘$]+', ''), '\s+', ' ', 'g'), '^[ :–-]+|[ :–-]+$', '', 'g')"""
 _STOP = ", ".join(f"'{w}'" for w in dict.fromkeys(rules.STOP))
 _FOLD = "list_transform(list_filter(regexp_extract_all({0}, '" + rules.TOKEN + "'), lambda t: NOT list_contains([" + _STOP + "], t) AND (length(t) > 1 OR regexp_matches(t, '^[0-9]$'))), lambda t: CASE WHEN length(t) > 4 AND ends_with(t, 's') AND NOT ends_with(t, 'ss') THEN left(t, length(t) - 1) ELSE t END)"
 _WORDS = r"list_filter(string_split_regex(coalesce({0}, ''), '\s+'), lambda w: w <> '')"

@@ -201,12 +201,13 @@ def with_blocks(rows: DataFrame, html: str = "html", text: str = "text", name: s
         ("links", pa.list_(pa.struct([("text", pa.string()), ("url", pa.string()), ("kind", pa.string())]))), ("lead_link_frac", pa.float64()), ("lead_bold_frac", pa.float64()),
     ]))
     at, plain = (rows.columns.index(c) if c in rows.columns else -1 for c in (html, text))
+    own = [rows.columns.index(c) for c in kept]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             none = [None] * b.num_rows
             found = [html_blocks(h) if h else text_blocks(t or "") for h, t in zip(b.column(at).to_pylist() if at >= 0 else none, b.column(plain).to_pylist() if plain >= 0 else none, strict=True)]
-            yield pa.RecordBatch.from_arrays([*(b.column(rows.columns.index(c)) for c in kept), pa.array(found, kind)], names=[*kept, name])
+            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in own), pa.array(found, kind)], names=[*kept, name])
 
     return rows.mapInArrow(run, schema)
 

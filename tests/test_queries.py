@@ -6,7 +6,7 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from quillmesh.plans import archive, items, tables  # noqa: F401
+from quillmesh.plans import archive, cases, items, tables  # noqa: F401
 from quillmesh.plans.queries import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
