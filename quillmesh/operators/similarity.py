@@ -137,10 +137,12 @@ def stories(pairs: DataFrame, documents: DataFrame, threshold: float = rules.THR
     connected window at a time; all others are stories by themselves."""
     close = pairs.where(F.col("s") >= threshold).select(*KEY, F.explode(F.array("a", "b")).alias("item_id")).distinct()
     linked = close.join(documents.select("item_id", "source_key"), "item_id")
-    rows = pairs.select(*KEY, "a", "b", "s", F.lit(None).cast("string").alias("source")).unionByName(linked.select(*KEY, F.col("item_id").alias("a"), F.lit(None).cast("long").alias("b"), F.lit(None).cast("double").alias("s"), F.coalesce(F.col("source_key").cast("string"), F.lit("")).alias("source")))
+    # a row an item has no second one: it names itself, as a null would make whole numbers inexact
+    nodes = linked.select(*KEY, F.col("item_id").alias("a"), F.col("item_id").alias("b"), F.lit(0.0).alias("s"), F.coalesce(F.col("source_key").cast("string"), F.lit("")).alias("source"))
+    rows = pairs.select(*KEY, "a", "b", "s", F.lit("").alias("source")).unionByName(nodes)
 
     def run(key: tuple, own: pd.DataFrame) -> pd.DataFrame:
-        nodes, edges = own[own["b"].isna()], own[own["b"].notna()]
+        nodes, edges = own[own["a"] == own["b"]], own[own["a"] != own["b"]]
         source = dict(zip(nodes["a"].astype(int), nodes["source"], strict=True))
         home = grouped([(s, int(a), int(b)) for s, a, b in zip(edges["s"], edges["a"], edges["b"], strict=True) if a in source and b in source], source, threshold)
         return pd.DataFrame({KEY[0]: [key[0]] * len(home), KEY[1]: [key[1]] * len(home), "story": list(home.values()), "item_id": list(home)})

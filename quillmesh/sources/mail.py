@@ -84,11 +84,15 @@ def _known(charset: str) -> str:
     return charset
 
 
-def messages(files: DataFrame) -> DataFrame:
-    """(path, content) as messages. The id is the hexadecimal suffix of the file name, else the hash of the content."""
+def identified(files: DataFrame) -> DataFrame:
+    """(path, content) as (message_id, content). The id is the hexadecimal suffix of the file name, else the hash of the content."""
     named = F.regexp_extract("path", r"__([0-9a-f]{12,20})\.eml$", 1)
-    digest = F.sha2("content", 256)
-    known = files.where("content IS NOT NULL").select(F.when(named != "", named).otherwise(F.concat(F.lit("file-"), F.substring(digest, 1, 16))).alias("message_id"), digest.alias("content_hash"), "content")
+    return files.where("content IS NOT NULL").select(F.when(named != "", named).otherwise(F.concat(F.lit("file-"), F.substring(F.sha2("content", 256), 1, 16))).alias("message_id"), "content")
+
+
+def parse(raw: DataFrame) -> DataFrame:
+    """(message_id, content) as messages with their fields and bodies."""
+    known = raw.select("message_id", F.sha2("content", 256).alias("content_hash"), "content")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -100,6 +104,11 @@ def messages(files: DataFrame) -> DataFrame:
     return known.mapInArrow(run, _DDL)
 
 
+def messages(files: DataFrame) -> DataFrame:
+    """(path, content) as messages."""
+    return parse(identified(files))
+
+
 def plus_tags(headers: Column, inbox: str) -> Column:
     """Distinct lower-case tags of local+tag@domain in the recipients' headers, in their order."""
     local, _, domain = inbox.partition("@")
@@ -159,10 +168,15 @@ def archive_path(row_segment: Column, sent: Column, name: Column, key: Column) -
     return F.concat_ws("/", row_segment, F.coalesce(F.substring(sent, 1, 10), F.lit("unknown")), F.concat(tx.slug(name), F.lit("__"), key, F.lit(".eml")))
 
 
-def read_eml(spark: SparkSession, folder: str) -> DataFrame:
-    """All .eml files below a folder. Files without a byte are passed over by the reader: they hold no message."""
+def read_raw(spark: SparkSession, folder: str) -> DataFrame:
+    """All .eml files below a folder as (message_id, content). Files without a byte are passed over by the reader."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.eml").option("recursiveFileLookup", True).load(folder)
-    return messages(files.select("path", "content"))
+    return identified(files.select("path", "content"))
+
+
+def read_eml(spark: SparkSession, folder: str) -> DataFrame:
+    """All .eml files below a folder, as messages."""
+    return parse(read_raw(spark, folder))
 
 
 def add_new(known: DataFrame, found: DataFrame, key: str = "message_id") -> DataFrame:
