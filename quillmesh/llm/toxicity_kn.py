@@ -17,6 +17,7 @@ sums of its columns is broadcast or brought to the driver. Texts are scored in r
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable, Iterator
 from functools import reduce
 
@@ -41,7 +42,7 @@ N_FEATURES = 3 + len(SPANS) + len(SHARES)
 #: Bytes of text in a slice; pairs and words repeat less between longer ones.
 SLICE = 24_000_000
 #: Pairs of the model in a range; texts' rounds.
-RANGE_PAIRS, ROUNDS = 1 << 18, 2
+RANGE_PAIRS, ROUNDS = 1 << 18, 4
 _WORDS = re.compile(r"[^\W\d_]+")
 _START = np.uint64(0x9E3779B97F4A7C15)
 
@@ -251,8 +252,9 @@ class Asked:
 
 
 def ratios(asked: Asked, pairs: list[np.ndarray], words: list[np.ndarray], stems: list[np.ndarray], unseen: list[float]) -> np.ndarray:
-    """Of every word, log P(word | before, toxic) - log P(word | before, ordinary)."""
+    """Of every word, log P(word | before, toxic) - log P(word | before, ordinary); 0 of one whose stem neither class has seen."""
     logs = []
+    known = ((words[0] + words[1])[asked.word] > 0) | ((stems[0] + stems[1])[asked.stem] > 0)
     for c in (0, 1):
         n = pairs[c][asked.pair].astype(np.int64)
         p, q = words[c].astype(float)[asked.word], stems[c].astype(float)[asked.stem]
@@ -260,7 +262,7 @@ def ratios(asked: Asked, pairs: list[np.ndarray], words: list[np.ndarray], stems
         seen, left = words[2 + c].astype(float)[asked.word][asked.v], words[4 + c].astype(float)[asked.word][asked.v]
         down = np.maximum(seen, 1)
         logs.append(np.log((n - _discounted(n)) / down + np.where(seen > 0, left / down, 1.0) * p))
-    return logs[1] - logs[0]
+    return np.where(known[asked.w], logs[1] - logs[0], 0.0)
 
 
 def evidence(r: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -277,32 +279,22 @@ def evidence(r: np.ndarray, n: np.ndarray) -> np.ndarray:
     return out
 
 
-def _names(digests: list[bytes]) -> bytes:
-    return xxhash.xxh3_128_digest(b"".join(digests))
-
-
 def with_evidence(docs: DataFrame, model: dict, text: str) -> DataFrame:
-    """Distinct __h (md5 of a text) with __x, its evidence. docs must deal the same rows in the same order whenever it is computed,
-    as files do; a slice whose answers do not fit raises an error."""
+    """Distinct __h (md5 of a text) with __x, its evidence. Each round tokenises its texts once, into a table of what the slices
+    ask for and what they keep, which goes when the round's evidence is written."""
     bits, width, unseen = model["bits"], model["width"], model["unseen"]
 
-    def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Tokens, list[bytes]]]:
+    def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t, rows in _tokenised(batches, 1, SLICE):
-            yield t, [x for b in rows for x in b.column(0).to_pylist()]
-
-    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t, digests in slices(batches):
-            got, name = Asked(t.keys(), np.concatenate(t.ids), np.array(t.n), width), _names(digests)
+            digests = [x for b in rows for x in b.column(0).to_pylist()]
+            ids, n, h, name = np.concatenate(t.ids), np.array(t.n), t.keys(), uuid.uuid4().bytes
+            got = Asked(h, ids, n, width)
             cuts = [_cuts(k, own, bits) for k, own in zip(got.keys, got.widths, strict=True)]
             yield _sent([(r, name, common.squeeze(*[_ascending(k[c[r] : c[r + 1]]) for k, c in zip(got.keys, cuts, strict=True)])) for r in range(1 << bits)])
-
-    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t, digests in slices(batches):
-            ids = np.concatenate(t.ids)
-            often = np.argsort(-np.bincount(ids, minlength=len(t.vocabulary)), kind="stable")
+            often = np.argsort(-np.bincount(ids, minlength=len(h)), kind="stable")
             rank = np.empty(len(often), np.uint32)
             rank[often] = np.arange(len(often), dtype=np.uint32)
-            yield _sent([(-1, _names(digests), common.squeeze(t.keys()[often], rank[ids], np.array(t.n, np.uint32), np.frombuffer(b"".join(digests), np.uint8)))])
+            yield _sent([(-1, name, common.squeeze(h[often], rank[ids], n.astype(np.uint32), np.frombuffer(b"".join(digests), np.uint8)))])
 
     def answered(key: tuple, t: pa.Table) -> pa.Table:
         names, data = t.column("slice").to_pylist(), t.column("data")
@@ -334,8 +326,8 @@ def with_evidence(docs: DataFrame, model: dict, text: str) -> DataFrame:
 
     def weighed(key: tuple, t: pa.Table) -> pa.Table:
         ranges, data = t.column("range").to_pylist(), t.column("data")
-        if sorted(set(ranges)) != list(range(-1, 1 << bits)):
-            raise ValueError("the rows of docs were dealt otherwise the second time: write docs to a table first")
+        if sorted(ranges) != list(range(-1, 1 << bits)):
+            raise ValueError("a slice lacks answers")
         h, ids, n, digests = common.expand(data[ranges.index(-1)].as_py())
         answers = [common.expand(data[i].as_py()) for i in sorted(range(len(ranges)), key=lambda i: ranges[i]) if ranges[i] >= 0]
         found = [np.concatenate(x) for x in zip(*answers, strict=True)]
@@ -351,9 +343,11 @@ def with_evidence(docs: DataFrame, model: dict, text: str) -> DataFrame:
     out = []
     for k in range(ROUNDS):
         own = texts.where(F.pmod(F.xxhash64(text), F.lit(ROUNDS)) == k).select(_digest(text).alias("__h"), F.col(text).alias("text"))
-        answers = own.mapInArrow(asked, _SENT).unionAll(model["table"]).groupBy("range").applyInArrow(answered, _SENT)
-        found = answers.unionAll(own.mapInArrow(kept, _SENT)).groupBy("slice").applyInArrow(weighed, "__h binary, __x array<double>")
+        sent = common.as_table(own.mapInArrow(sliced, _SENT), "toxicity-slices")
+        answers = sent.where("range >= 0").unionAll(model["table"]).groupBy("range").applyInArrow(answered, _SENT)
+        found = answers.unionAll(sent.where("range < 0")).groupBy("slice").applyInArrow(weighed, "__h binary, __x array<double>")
         out.append(common.as_table(found.groupBy("__h").agg(F.first("__x").alias("__x")), "toxicity-evidence"))
+        common.drop(sent)
     return reduce(DataFrame.unionAll, out)
 
 
