@@ -1,6 +1,7 @@
 """The whole run over a small mailbox, with a made-up model: captured, split, extracted, clustered, composed, decided; twice."""
 
 import json
+import re
 import sys
 from datetime import UTC, datetime
 
@@ -38,13 +39,13 @@ NOW = datetime(2026, 10, 5, 12, tzinfo=UTC)
 def client():
     def transport(request):
         text = request["messages"][-1]["content"]
-        ids = [w[:-1] for w in text.replace("[i", " [i").split() if w.startswith("[i") and w.endswith("]")]
+        ids = re.findall(r"\[i\d+\]", text)
         if "Lumen" in text and not ids:
             reply = {"summary": "Acme shipped Lumen.", "category": "launch", "importance": 5, "entities": [{"name": "Acme", "type": "company"}, {"name": "Lumen", "type": "model"}, {"name": "Zed", "type": "org"}]}
         elif not ids:
             reply = {"summary": "Something else.", "category": "other", "importance": 2}
         else:
-            first = next(i for i in __import__("re").findall(r"\[i\d+\]", text))
+            first = ids[0]
             reply = {"subject": "Acme ships Lumen", "hook": f"Acme has news. {first}", "top_story": {"headline": "Acme ships Lumen", "paragraphs": [f"Acme cut prices by 40 percent. {first} Then Zed left Acme. {first}"]}, "close": "See you."}
         return 200, {}, json.dumps({"choices": [{"message": {"content": json.dumps(reply)}}]})
 
