@@ -36,7 +36,7 @@ def duplicates(messages: DataFrame, hours: float = rules.DUPLICATE_HOURS, share:
                 canon.append((r.gmail_id, r.at, r.words))
             else:
                 out.append((r.gmail_id, of))
-        return pd.DataFrame(out, columns=["gmail_id", "duplicate_of"])
+        return pd.DataFrame(out, columns=["gmail_id", "duplicate_of"], dtype=object)
 
     kind = messages.schema["gmail_id"].dataType.simpleString()
     return runs.groupBy("sender_email", "about", "run").applyInPandas(within, f"gmail_id {kind}, duplicate_of {kind}")

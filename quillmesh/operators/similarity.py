@@ -145,7 +145,9 @@ def stories(pairs: DataFrame, documents: DataFrame, threshold: float = rules.THR
         nodes, edges = own[own["a"] == own["b"]], own[own["a"] != own["b"]]
         source = dict(zip(nodes["a"].astype(int), nodes["source"], strict=True))
         home = grouped([(s, int(a), int(b)) for s, a, b in zip(edges["s"], edges["a"], edges["b"], strict=True) if a in source and b in source], source, threshold)
-        return pd.DataFrame({KEY[0]: [key[0]] * len(home), KEY[1]: [key[1]] * len(home), "story": list(home.values()), "item_id": list(home)})
+        # plain objects: pandas' own strings come as chunks, which Spark's writer refuses
+        keys = {k: pd.Series([v] * len(home), dtype=object) for k, v in zip(KEY, key, strict=True)}
+        return pd.DataFrame(keys | {"story": pd.Series(list(home.values()), dtype="int64"), "item_id": pd.Series(list(home), dtype="int64")})
 
     types = {f.name: f.dataType.simpleString() for f in documents.schema}
     found = rows.groupBy(*KEY).applyInPandas(run, f"segment {types['segment']}, window_end {types['window_end']}, story long, item_id long")
