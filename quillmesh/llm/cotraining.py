@@ -226,15 +226,17 @@ def features(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: i
     used = y.where(~out).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).select("doc_id", F.lit(True).alias("__used"))
     y = y.join(F.broadcast(used), "doc_id", "left")
     role = F.when(F.col("__used"), F.col("__y")).when(F.col("doc_id").isNull() | (out & F.col("__y").isNotNull()), -2).otherwise(-1)
-    given = docs.select("doc_id", *_META).join(y, "doc_id", "left").select("doc_id", role.alias("role"), (cal & F.coalesce("__used", F.lit(False))).alias("cal"), *_META)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in common.slices(batches, "text"):
-            views = [pa.array([x.tobytes() for x in v.astype(np.float32)], pa.binary()) for v in _views(b, 3)]
-            yield pa.RecordBatch.from_arrays([*b.columns[:3], *views], names=["doc_id", "role", "cal", "t", "m"])
+            views = [pa.array([x.tobytes() for x in v.astype(np.float32)], pa.binary()) for v in _views(b, 1)]
+            yield pa.RecordBatch.from_arrays([b.column(0), *views], names=["doc_id", "t", "m"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return common.as_table(given.mapInArrow(run, f"doc_id {kind}, role int, cal boolean, t binary, m binary"), "views")
+    viewed = docs.select("doc_id", *_META).mapInArrow(run, f"doc_id {kind}, t binary, m binary")
+    # labels grow with the rows, so they are not broadcast; what moves to them is the features, never the texts
+    given = viewed.join(y.hint("merge"), "doc_id", "left")
+    return common.as_table(given.select("doc_id", role.alias("role"), (cal & F.coalesce("__used", F.lit(False))).alias("cal"), "t", "m"), "views")
 
 
 def classify(table: DataFrame, model: dict) -> DataFrame:

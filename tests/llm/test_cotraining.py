@@ -23,3 +23,19 @@ def test_empty_tables(spark):
     labels = spark.createDataFrame([], "doc_id long, quality int")
     assert cotraining.op1(docs, labels).count() == 2
     assert cotraining.op1(docs.limit(0), labels).count() == 0
+
+
+def test_texts_are_not_shuffled(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "a b", "en", "x", 3), (2, "c", "en", "x", 1)], "doc_id long, text string, lang string, source string, n_chars long")
+    labels = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
+    monkeypatch.setattr(cotraining.common, "as_table", lambda df, label: df)
+    for threshold in ("-1", "10485760"):  # labels too large to broadcast, and small ones: the same plan
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        try:
+            nodes = [cotraining.features(docs, labels)._jdf.queryExecution().executedPlan().initialPlan()]
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for n in nodes:
+            nodes += [n.children().apply(k) for k in range(n.children().size())]
+        moved = [{x.name() for x in (n.output().apply(k) for k in range(n.output().size()))} for n in nodes if n.nodeName() == "Exchange"]
+        assert any({"t", "m"} <= x for x in moved) and not any("text" in x for x in moved)
