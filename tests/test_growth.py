@@ -1,10 +1,12 @@
 """Steps whose work once grew faster than their input, on inputs where that shows."""
 
 import time
+from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
 from quillmesh.functions import text as tx
+from quillmesh.operators import duplicates
 from quillmesh.plans import items
 
 
@@ -23,3 +25,24 @@ def test_runs_of_an_id_with_two_texts_count_once(spark):
     docs = spark.createDataFrame([(1, text), (1, text + " more")], "doc_id long, text string")
     got = items.copied_runs(docs, spark.createDataFrame([(7, text)], "item_id long, text string")).collect()
     assert [tuple(r) for r in got] == [(1, 7, 2)]
+
+
+def test_messages_far_apart_and_runs_over_many_batches(spark):
+    start = datetime(2026, 1, 1)
+    far = [(i, f"s{i % 100}", "Subject", start + timedelta(hours=5 * (i // 100)), 100, "real") for i in range(50_000)]
+    one = [(100_000 + i, "one", "Subject", start + timedelta(minutes=i), 100 if i % 2 else 150, "unmatched" if i % 3 == 0 else "real") for i in range(2_000)]
+    messages = spark.createDataFrame(far + one, "gmail_id long, sender_email string, subject string, sent_date timestamp, word_count int, segment string")
+    want, canon = {}, []
+    for i, _, _, at, n, kind in sorted(one, key=lambda r: (r[5] == "unmatched", r[3])):
+        of = next((c for c in canon if abs(c[1] - at) <= timedelta(hours=3) and abs(c[2] - n) <= 0.1 * max(c[2], n)), None)
+        if of:
+            want[i] = of[0]
+        else:
+            canon.append((i, at, n))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        began = time.time()
+        assert {r["gmail_id"]: r["duplicate_of"] for r in duplicates.duplicates(messages).collect()} == want
+        assert time.time() - began < 25
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
