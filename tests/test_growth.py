@@ -1,5 +1,6 @@
 """Steps whose work once grew faster than their input, on inputs where that shows."""
 
+import re
 import time
 from datetime import datetime, timedelta
 
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from quillmesh.functions import text as tx
 from quillmesh.operators import duplicates
 from quillmesh.plans import items
+from quillmesh.plans.queries import QUERIES
 
 
 def test_runs_of_a_long_text_take_its_words_once(spark):
@@ -46,3 +48,24 @@ def test_messages_far_apart_and_runs_over_many_batches(spark):
         assert time.time() - began < 25
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def exploded(frame):
+    return frame._jdf.queryExecution().optimizedPlan().toString().count("Generate ")
+
+
+def test_words_are_found_once_for_weights_and_once_for_the_background(spark):
+    assert exploded(QUERIES["tfidf_weights"](spark, "/root/testdata/sf0.001")) == 2
+    # besides: words, names, and the two sides of the pairs, which are met where their window lies
+    pairs = QUERIES["similar_pairs"](spark, "/root/testdata/sf0.001")
+    assert exploded(pairs) <= 5
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "(window_end" in plan and not re.search(r"hashpartitioning\([^)]*\b[ab]#", plan)
+
+
+def test_first_words_of_odd_blanks(spark):
+    for n in (1, 2, 3):
+        for text in ("", " ", "a", " a", "a ", " a b", "a b ", "  a  b  c ", "a b c d", " a b c\n\nd e "):
+            want = " ".join(text.split()[:n]) + ("+" if len(text.split()) > n else "")
+            got = spark.createDataFrame([(text,)], "t string").select(tx.first_words(F.col("t"), n, "+")).first()[0]
+            assert got == want, (n, text)
