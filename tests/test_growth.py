@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from quillmesh.functions import text as tx
-from quillmesh.operators import duplicates
+from quillmesh.operators import duplicates, similarity
 from quillmesh.plans import items
 from quillmesh.plans.queries import QUERIES
 
@@ -69,3 +69,14 @@ def test_first_words_of_odd_blanks(spark):
             want = " ".join(text.split()[:n]) + ("+" if len(text.split()) > n else "")
             got = spark.createDataFrame([(text,)], "t string").select(tx.first_words(F.col("t"), n, "+")).first()[0]
             assert got == want, (n, text)
+
+
+def test_stories_read_the_pairs_of_linked_items_only(spark):
+    docs = spark.createDataFrame([("s", 1, i, f"src{i}", [], False) for i in range(5)], "segment string, window_end int, item_id long, source_key string, names array<string>, recurring boolean")
+    vectors = spark.createDataFrame([("s", 1, 0, "t", 0.6), ("s", 1, 0, "u", 0.8), ("s", 1, 1, "t", 1.0), ("s", 1, 2, "u", 0.1), ("s", 1, 3, "u", 0.1), ("s", 1, 2, "v", 0.1)], "segment string, window_end int, item_id long, token string, w double")
+    pairs = similarity.linked_pairs(vectors, docs)
+    assert sorted((r["a"], r["b"]) for r in pairs.collect()) == [(0, 1)]
+    every = similarity.similar(vectors, docs)
+    assert sorted((r["a"], r["b"]) for r in every.collect()) == [(0, 1), (0, 2), (0, 3), (2, 3)]
+    told = [{r["item_id"]: r["story"] for r in similarity.stories(p, docs).collect()} for p in (pairs, every)]
+    assert told[0] == told[1] == {0: 0, 1: 0, 2: 2, 3: 3, 4: 4}
