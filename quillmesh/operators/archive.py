@@ -103,7 +103,8 @@ def insert_new(table: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
 
 def upsert(table: DataFrame, rows: DataFrame, keys: list[str], keep: tuple[str, ...] = ()) -> DataFrame:
     """The table with rows replaced or added by key; columns of `keep` stay as they are where the key is known."""
-    own = rows.dropDuplicates(keys)
+    # many partitions, not put together again: a task sorts both sides of its part. The table follows, unless the rows are sent to it
+    own = rows.repartition(4 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys).dropDuplicates(keys)
     if keep:
         old = table.select(*keys, *[F.col(c).alias(f"_{c}") for c in keep])
         own = own.join(old, keys, "left").withColumns({c: F.coalesce(F.col(f"_{c}"), F.col(c)) for c in keep}).drop(*[f"_{c}" for c in keep])

@@ -80,3 +80,9 @@ def test_stories_read_the_pairs_of_linked_items_only(spark):
     assert sorted((r["a"], r["b"]) for r in every.collect()) == [(0, 1), (0, 2), (0, 3), (2, 3)]
     told = [{r["item_id"]: r["story"] for r in similarity.stories(p, docs).collect()} for p in (pairs, every)]
     assert told[0] == told[1] == {0: 0, 1: 0, 2: 2, 3: 3, 4: 4}
+
+
+def test_upsert_sorts_small_parts(spark):
+    plan = QUERIES["upsert_draft"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    n = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert re.search(rf"hashpartitioning\(k#\d+L?, {n}\), REPARTITION_BY_NUM", plan)
